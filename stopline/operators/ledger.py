@@ -61,7 +61,20 @@ def median_cadence(runs: DataFrame) -> DataFrame:
 
 
 def public_gaps(runs: DataFrame, multiplier: float = PUBLIC_GAP_MULTIPLIER) -> DataFrame:
-    """The public gap ledger: long silences, and errored cycles that came on time.
+    """The public gap ledger: long silences, and errored cycles that came on time."""
+    return public_gap_walk(runs, multiplier).drop("closed_by")
+
+
+def latest_public_gaps(runs: DataFrame, multiplier: float = PUBLIC_GAP_MULTIPLIER) -> DataFrame:
+    """The public ledger keyed by start time: of gaps sharing one, the later in the walk stays."""
+    gaps = public_gap_walk(runs, multiplier)
+    values = [c for c in gaps.columns if c not in ("started_at", "closed_by")]
+    kept = gaps.groupBy("started_at").agg(F.max_by(F.struct(*values), "closed_by").alias("g"))
+    return kept.select("started_at", "g.*")
+
+
+def public_gap_walk(runs: DataFrame, multiplier: float = PUBLIC_GAP_MULTIPLIER) -> DataFrame:
+    """Public gaps with ``closed_by``, the cycle that ended them.
 
     An empty error text means no error here, unlike in :func:`gap_intervals`."""
     cadence = median_cadence(runs).scalar()
@@ -88,6 +101,7 @@ def public_gaps(runs: DataFrame, multiplier: float = PUBLIC_GAP_MULTIPLIER) -> D
         .otherwise(F.lit(0).cast("long"))
         .alias("cycles_missed"),
         text.truncate_text(error, DETAIL_MAX_CHARS).alias("detail"),
+        F.col("polled_at").alias("closed_by"),
     )
 
 

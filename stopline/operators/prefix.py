@@ -120,10 +120,12 @@ def cumulative_counts(df: DataFrame, order: str, buckets: Sequence[Column], keys
 
 
 def median_of(counts: DataFrame, order: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Exact interpolating median from ``cumulative_counts``; no value list is ever collected."""
+    """Exact interpolating median from ``cumulative_counts``; no value list is ever collected.
+
+    ``keys`` name a handful of series (features, candidates), so their totals are broadcast."""
     keys = list(keys)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    ranked = counts.join(totals, keys) if keys else counts.withColumn("_total", totals.scalar())
+    ranked = counts.join(F.broadcast(totals), keys) if keys else counts.withColumn("_total", totals.scalar())
     low = F.floor((F.col("_total") - 1) / 2)
     high = F.floor(F.col("_total") / 2)
     holds = lambda rank: (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

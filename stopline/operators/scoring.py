@@ -67,15 +67,19 @@ def baseline_scores(split_rows: DataFrame, names: list[str] = BASELINES) -> Data
     )
 
 
-def feature_medians(train: DataFrame) -> dict[str, float]:
-    """Exact medians of the known feature values: one number per feature reaches the driver."""
+def feature_counts(train: DataFrame) -> DataFrame:
+    """Rows per (feature, known value), with the rows at smaller values."""
     values = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in FEATURE_COLUMNS]
     )
     long = train.select(F.inline(values)).filter(F.col("value").isNotNull())
-    buckets = prefix.score_buckets("value", bits=(-12, 0, 10, 20))
-    counts = prefix.cumulative_counts(long, "value", buckets, ["feature"])
-    found = {r["feature"]: r["median"] for r in prefix.median_of(counts, "value", ["feature"]).collect()}
+    return prefix.cumulative_counts(long, "value", prefix.score_buckets("value", bits=(-12, 0, 10, 20)), ["feature"])
+
+
+def feature_medians(train: DataFrame) -> dict[str, float]:
+    """Exact medians of the known feature values: one number per feature reaches the driver."""
+    medians = prefix.median_of(feature_counts(train), "value", ["feature"])
+    found = {r["feature"]: r["median"] for r in medians.collect()}
     return {c: found.get(c, 0.0) for c in FEATURE_COLUMNS}
 
 

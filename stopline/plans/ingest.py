@@ -51,11 +51,14 @@ def ingest(
     batches_total: int,
     contract: dict = ct.CONTRACT,
     max_pages: int = MAX_PAGES_PER_BATCH,
+    refresh_ledger: bool = False,
 ) -> int:
     """Validate, quarantine, map and store pages; every cycle leaves a ledger row.
 
     The flat resources and the new snapshots are staged, so JSON is parsed once and the ledger
-    counts exactly the rows that were appended. Safe to repeat: nothing is stored twice."""
+    counts exactly the rows that were appended. Safe to repeat: nothing is stored twice. With
+    ``refresh_ledger`` the cycles' rows are replaced and count all their stored snapshots, for
+    callers that see a cycle in several pieces."""
     spark = pages.sparkSession
     reading = read(tb.stage(pr.read_resources(pages, contract), "resources"))
     batch = tb.stage(tb.with_month(first_sightings(reading.snapshots)), "snapshots")
@@ -64,7 +67,11 @@ def ingest(
         months = [r[0] for r in batch.select(tb.MONTH).distinct().collect()]
         existing = existing.filter(F.col(tb.MONTH).isin(months))
     fresh = tb.stage(tb.absent_rows(batch, existing, STOP_EVENT_KEY), "fresh")
-    inserted = fresh.groupBy("polled_at").agg(F.count(F.lit(1)).alias("inserted"))
+    new_or_stored = fresh
+    if refresh_ledger and existing is not None:
+        cycles = reading.page_rows.select("polled_at").distinct()
+        new_or_stored = fresh.unionByName(existing.join(cycles, "polled_at", "left_semi").select(*fresh.columns))
+    inserted = new_or_stored.groupBy("polled_at").agg(F.count(F.lit(1)).alias("inserted"))
     summary = pr.cycle_summary(
         reading.page_rows, reading.found, reading.failed, reading.mapped, inserted, batches_total, max_pages
     )
@@ -73,5 +80,8 @@ def ingest(
         summary.withColumns({"started_at": F.col("polled_at"), "finished_at": F.col("polled_at")}), "ledger"
     )
     fresh.write.mode("append").partitionBy(tb.MONTH).parquet(events_path)
-    tb.insert_absent(ledger_rows, runs_path, ["polled_at"])
+    if refresh_ledger:
+        tb.upsert(ledger_rows, runs_path, ["polled_at"])
+    else:
+        tb.insert_absent(ledger_rows, runs_path, ["polled_at"])
     return fresh.count()

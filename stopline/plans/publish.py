@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from stopline.config import MAX_SNAPSHOTS
 from stopline.operators import ledger, status
@@ -24,14 +23,7 @@ def publish(
     Snapshots replace their minute and only the newest are kept; gaps replace their start time."""
     spark = stop_events.sparkSession
     snapshot = tb.stage(status.status_snapshot(stop_events, runs, labels, as_of), "snapshot")
-    # Two gaps can share a start time; the later one in the ledger replaces the earlier.
-    gaps = tb.stage(
-        ledger.public_gaps(runs)
-        .groupBy("started_at")
-        .agg(F.max(F.struct("ended_at", "duration_seconds", "reason", "cycles_missed", "detail")).alias("g"))
-        .select("started_at", "g.*"),
-        "gaps",
-    )
+    gaps = tb.stage(ledger.latest_public_gaps(runs), "gaps")
     old = tb.read_or_none(spark, snapshots_path)
     if old is not None:
         kept = tb.absent_rows(old, snapshot, ["published_at"]).unionByName(snapshot)

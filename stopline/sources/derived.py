@@ -64,6 +64,17 @@ def stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot keys as the feed repeats them, before any dedup."""
+    user = F.col("user_id")
+    return table(spark, sf_dir, "events").select(
+        text_id("t", user).alias("trip_id"),
+        text_id("s", user % 5).alias("stop_id"),
+        _floor_seconds(F.col("ts"), CYCLE_SECONDS).alias("polled_at"),
+        "event_id",
+    )
+
+
 def poll_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ledger row per polling cycle seen in ``events``."""
     events = table(spark, sf_dir, "events").withColumn("polled_at", _floor_seconds(F.col("ts"), CYCLE_SECONDS))

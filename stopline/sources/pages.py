@@ -18,29 +18,21 @@ PAGE_SCHEMA = T.StructType(
 )
 PAGE_KEY = ["polled_at", "batch", "page_no"]
 
-# Fixed value: landed files are named <poll time in epoch seconds>_<batch>_<page>.json.
-FILE_NAME = r"(\d+)_(\d+)_(\d+)\.json$"
-
-
-def _named(raw: DataFrame) -> DataFrame:
-    path = F.input_file_name()
-    part = lambda i: F.regexp_extract(path, FILE_NAME, i)
-    return raw.select(
-        F.timestamp_seconds(part(1).cast("long")).alias("polled_at"),
-        part(2).cast("int").alias("batch"),
-        part(3).cast("int").alias("page_no"),
-        F.col("value").alias("body"),
-    )
+# Landed files sit in a folder tree polled=<epoch seconds>/batch=<n>/page_no=<n>/, one page each.
+LANDED = "value string, polled long, batch int, page_no int"
 
 
-def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed page files, each read whole as one record."""
-    return _named(spark.read.text(folder, wholetext=True, pathGlobFilter="*.json"))
+def land_page_files(pages: DataFrame, folder: str) -> None:
+    """Write pages the way the feed client leaves them: one JSON file per page."""
+    files = pages.select(F.col("body").alias("value"), F.unix_seconds("polled_at").alias("polled"), "batch", "page_no")
+    files.write.mode("append").partitionBy("polled", "batch", "page_no").text(folder)
 
 
-def stream_page_files(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
-    return _named(reader.option("maxFilesPerTrigger", files_per_trigger).schema("value string").load(folder))
+def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed page files, each read whole as one record."""
+    return spark.read.schema(LANDED).text(folder, wholetext=True).select(
+        F.timestamp_seconds("polled").alias("polled_at"), "batch", "page_no", F.col("value").alias("body")
+    )
 
 
 def parsed(pages: DataFrame) -> DataFrame:

@@ -309,8 +309,7 @@ def _(spark, sf):
 PUBLIC = f"""
 SELECT strftime(a, '%Y-%m-%dT%H:%M:%S.%fZ') AS started_at, arg_max(strftime(b, '%Y-%m-%dT%H:%M:%S.%fZ'), polled_at) AS ended_at,
        arg_max(CAST(round_even({seconds('a', 'b')}, 0) AS BIGINT), polled_at) AS duration_seconds
-FROM (SELECT *, coalesce({seconds('prev', 'polled_at')} > 3 * (SELECT m FROM cad), false) AS silent,
-             CASE WHEN silent THEN prev ELSE started_at END AS a, CASE WHEN silent THEN polled_at ELSE finished_at END AS b FROM walk)
+FROM (SELECT *, CASE WHEN silent THEN prev ELSE started_at END AS a, CASE WHEN silent THEN polled_at ELSE finished_at END AS b FROM silences)
 WHERE silent OR error IS NOT NULL GROUP BY 1"""
 
 
@@ -356,33 +355,36 @@ def _(spark, sf):
     return spark.read.parquet(_ingested(spark, sf)[1]).select(*CYCLE.split(", "))
 
 
+def _parts():
+    at = F.col("polled_at")
+    return [at < CUT_A, (at >= CUT_A) & (at < CUT_B), at >= CUT_B]
+
+
 @query(
     "st_dedup",
     check("SELECT 't' || user_id AS trip_id, 's' || (user_id % 5) AS stop_id, time_bucket(INTERVAL '10 minutes', ts) AS polled_at FROM events GROUP BY ALL"),
 )
 def _(spark, sf):
-    rows = d.raw_sightings(spark, sf)
-    folder, path = jobs.land_rows(rows, 3), work_path(spark, "dedup")
-    job = jobs.DedupJob(path)
-    jobs.run_available(jobs.file_stream(spark, folder, rows.schema, 1), job.handle, work_path(spark, "checkpoint"))
+    path = work_path(spark, "dedup")
+    halves = [F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1]
+    jobs.work_off(d.raw_sightings(spark, sf), halves, jobs.DedupJob(path).handle)
     return spark.read.parquet(path).select(*STOP_EVENT_KEY)
 
 
-def _settled(spark, sf, files, order):
-    rows = d.stop_events(spark, sf)
-    folder = jobs.land_rows(rows, files, order)
+def _settled(spark, sf, parts):
     events, labels, state = (work_path(spark, n) for n in ("events", "labels", "state"))
     runs = tb.stage(d.poll_runs(spark, sf), "runs")
     job = jobs.SettleJob(runs, events, labels, state, inputs.RULES)
-    jobs.run_available(jobs.file_stream(spark, folder, rows.schema, 1), job.handle, work_path(spark, "checkpoint"))
+    jobs.work_off(d.stop_events(spark, sf), parts, job.handle)
     return spark.read.parquet(labels).select(*LABEL_COLS.split(", "))
 
 
 @query("st_settle", check(f"SELECT {LABEL_COLS} FROM el"))
 def _(spark, sf):
-    return _settled(spark, sf, 3, "polled_at")
+    return _settled(spark, sf, _parts())
 
 
 @query("st_late_data", check(f"SELECT {LABEL_COLS} FROM el"))
 def _(spark, sf):
-    return _settled(spark, sf, 2, None)
+    """The newest snapshots land first; older ones arrive late and reopen their groups."""
+    return _settled(spark, sf, _parts()[::-1])

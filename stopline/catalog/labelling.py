@@ -61,9 +61,7 @@ SELECT strftime(a, '%Y-%m-%dT%H:%M:%S.%fZ') AS started_at, strftime(b, '%Y-%m-%d
        CASE WHEN error IS NULL THEN 'no poll recorded' ELSE 'upstream server error (1 of 3 batches)' END AS reason,
        CAST(CASE WHEN silent THEN greatest(0, round_even({seconds('a', 'b')} / (SELECT m FROM cad), 0) - 1) ELSE 0 END AS BIGINT) AS cycles_missed,
        error AS detail
-FROM (SELECT *, coalesce({seconds('prev', 'polled_at')} > 3 * (SELECT m FROM cad), false) AS silent,
-             CASE WHEN silent THEN prev ELSE started_at END AS a, CASE WHEN silent THEN polled_at ELSE finished_at END AS b
-      FROM walk)
+FROM (SELECT *, CASE WHEN silent THEN prev ELSE started_at END AS a, CASE WHEN silent THEN polled_at ELSE finished_at END AS b FROM silences)
 WHERE silent OR error IS NOT NULL"""
 
 

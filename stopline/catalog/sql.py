@@ -65,6 +65,7 @@ CTES: dict[str, str] = {
         UNION ALL
         SELECT prev, polled_at FROM walk WHERE {seconds('prev', 'polled_at')} > 900""",
     "cad": f"SELECT median({seconds('prev', 'polled_at')}) AS m FROM walk WHERE prev IS NOT NULL",
+    "silences": f"SELECT *, coalesce({seconds('prev', 'polled_at')} > 3 * m, false) AS silent FROM walk CROSS JOIN cad",
     "latest": "SELECT max(polled_at) AS as_of FROM pr",
     "grp": f"""
         SELECT trip_id, stop_id, sdn AS service_date_norm, arg_max(route_id, polled_at) AS route_id,

@@ -25,8 +25,8 @@ def pct_text(numerator: Column, denominator: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """Plain decimal text with a fixed number of digits."""
-    return F.format_string(f"%.{digits}f", value)
+    """Plain decimal text with a fixed number of digits; null stays null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
 
 
 def cycles_missed(gap_seconds: Column, median_seconds: Column) -> Column:

@@ -145,9 +145,12 @@ class SettleJob:
         return pending, (None if as_of is None else as_of.first()[0])
 
 
-def land_rows(rows: DataFrame, files: int, order: str | None = None) -> str:
-    """Write rows as ``files`` files, by time range or, without an order, spread over all times."""
-    path = work_path(rows.sparkSession, "landing")
-    spread = rows.repartitionByRange(files, order) if order else rows.repartition(files, *STOP_EVENT_KEY)
-    spread.write.parquet(path)
-    return path
+def work_off(rows: DataFrame, parts: list, handle) -> None:
+    """Land the rows part by part in the shared folder and work off each landing as it arrives.
+
+    ``parts`` are conditions that together cover all rows."""
+    spark = rows.sparkSession
+    landing, checkpoint = work_path(spark, "landing"), work_path(spark, "checkpoint")
+    for part in parts:
+        rows.filter(part).write.mode("append").parquet(landing)
+        run_available(file_stream(spark, landing, rows.schema, 1000), handle, checkpoint)

@@ -36,8 +36,8 @@ def _reading(spark, sf):
 @query("pages_source", check(f"SELECT {PAGE}, readable, more, CASE WHEN readable THEN n ELSE 0 END AS predictions FROM pg"))
 def _(spark, sf):
     folder = work_path(spark, "landed")
-    pg.land_page_files(inputs.pages(spark, sf), folder)
-    rows = pg.resources(pg.read_page_files(spark, folder))
+    pg.land_page_lines(inputs.pages(spark, sf), folder)
+    rows = pg.resources(pg.read_page_lines(spark, folder))
     return rows.groupBy(*PAGE_COLS, "readable", "more").agg(F.count_if(F.col("section") == "data").alias("predictions"))
 
 
@@ -366,8 +366,7 @@ def _parts():
 )
 def _(spark, sf):
     path = work_path(spark, "dedup")
-    halves = [F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1]
-    jobs.work_off(d.raw_sightings(spark, sf), halves, jobs.DedupJob(path).handle)
+    jobs.work_off(d.raw_sightings(spark, sf), _parts(), jobs.DedupJob(path).handle)
     return spark.read.parquet(path).select(*STOP_EVENT_KEY)
 
 

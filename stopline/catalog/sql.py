@@ -150,9 +150,8 @@ CTES: dict[str, str] = {
     "pev": """
         SELECT *, row_number() OVER (PARTITION BY polled_at, batch, page_no ORDER BY event_id) - 1 AS pos
         FROM (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS at_s,
-                     CAST(round_even(value, 0) AS BIGINT) AS wait, time_bucket(INTERVAL '6 hours', ts) AS polled_at,
-                     CAST(user_id % 3 AS INTEGER) AS batch,
-                     CAST(1 + event_id % 4 + 4 * (event_id // 4000) AS INTEGER) AS page_no, event_id % 499 AS k FROM events)""",
+                     CAST(round_even(value, 0) AS BIGINT) AS wait, TIMESTAMP '2024-01-01 04:45:00' + to_seconds(66 * (event_id // 300)) AS polled_at,
+                     CAST(user_id % 3 AS INTEGER) AS batch, CAST(1 + event_id % 5 AS INTEGER) AS page_no, event_id % 499 AS k FROM events)""",
     "pg": f"""
         SELECT {PAGE}, NOT bool_or(event_id % 1999 = 1998) AS readable,
                bool_or(event_id % 11 = 0) AND NOT bool_or(event_id % 1999 = 1998) AS more,

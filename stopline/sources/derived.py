@@ -143,10 +143,11 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PAGE_CYCLE_SECONDS = 21600
 BATCHES = 3
-PAGE_FANOUT = 4
-PAGE_BLOCK = 4000
+PAGES_PER_BATCH = 5
+EVENTS_PER_CYCLE = 300
+FIRST_CYCLE = "2024-01-01 04:45:00"
+PAGE_CADENCE_SECONDS = 66
 
 
 def _stamp(seconds) -> F.Column:
@@ -163,18 +164,22 @@ def _link(name: str, ident) -> F.Column:
 
 
 def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the page they are printed on: at most a thousand per page by construction."""
+    """Events with the page they are printed on.
+
+    A cycle prints the next 300 events, so more data means more cycles and never larger ones."""
     events = table(spark, sf_dir, "events")
     event, user = F.col("event_id"), F.col("user_id")
+    first = F.unix_seconds(F.lit(FIRST_CYCLE).cast("timestamp"))
+    cycle = F.floor(event / EVENTS_PER_CYCLE)
     return events.select(
         "event_id",
         "user_id",
         "event_type",
         F.unix_seconds("ts").alias("at"),
         F.bround("value").cast("long").alias("wait"),
-        _floor_seconds(F.col("ts"), PAGE_CYCLE_SECONDS).alias("polled_at"),
+        F.timestamp_seconds(first + cycle * PAGE_CADENCE_SECONDS).alias("polled_at"),
         (user % BATCHES).cast("int").alias("batch"),
-        (1 + event % PAGE_FANOUT + PAGE_FANOUT * F.floor(event / PAGE_BLOCK)).cast("int").alias("page_no"),
+        (1 + event % PAGES_PER_BATCH).cast("int").alias("page_no"),
         (event % 499).alias("k"),
     )
 
@@ -233,7 +238,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     vehicle = F.when(event % 17 == 0, F.lit(',{"id":"v","type":"vehicle"}')).otherwise(none)
     printed = page_events(spark, sf_dir).withColumns({"p": prediction, "s": schedule, "v": vehicle})
     grouped = printed.groupBy("polled_at", "batch", "page_no").agg(
-        # A page holds at most PAGE_BLOCK / PAGE_FANOUT events.
+        # A page holds at most a fifth of its cycle's 300 events.
         F.array_sort(F.collect_list(F.struct("event_id", "p", "s", "v"))).alias("items"),
         F.bool_or(event % 11 == 0).alias("more"),
         F.bool_or(event % 1999 == 1998).alias("cut"),

@@ -22,12 +22,6 @@ PAGE_KEY = ["polled_at", "batch", "page_no"]
 LANDED = "value string, polled long, batch int, page_no int"
 
 
-def land_page_files(pages: DataFrame, folder: str) -> None:
-    """Write pages the way the feed client leaves them: one JSON file per page."""
-    files = pages.select(F.col("body").alias("value"), F.unix_seconds("polled_at").alias("polled"), "batch", "page_no")
-    files.write.mode("append").partitionBy("polled", "batch", "page_no").text(folder)
-
-
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
     """Landed page files, each read whole as one record."""
     return spark.read.schema(LANDED).text(folder, wholetext=True).select(
@@ -35,6 +29,15 @@ def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def land_page_lines(pages: DataFrame, folder: str) -> None:
+    """Write page records as JSON lines: many pages per file, which large archives need."""
+    pages.write.mode("append").json(folder)
+
+
+def read_page_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(PAGE_SCHEMA).json(folder)
+
+
 def parsed(pages: DataFrame) -> DataFrame:
     """Pages with their body as a variant, which keeps a missing field apart from a JSON null.
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.llm import exact_dedup, mixing, packing, token_counts
-from stopline.llm.common import table
+from stopline.llm import exact_dedup, language_id, mixing, packing, private_data, token_counts
+from stopline.llm.common import held_out, table
 from stopline.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs.filter(~held_out()))
+    said = language_id.predict(docs, model)
+    return said.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_private_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.find(table(spark, sf_dir, "documents"))
+    counts = [f"n_{k}" for k in private_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(table(spark, sf_dir, "documents")))

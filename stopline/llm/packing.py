@@ -27,6 +27,10 @@ from stopline.llm.vocabulary import WORD_PATTERN, Bounded, Encoder, tokenizer_pa
 
 WINDOW = 2048
 END_ID = 1
+
+# The published byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -37,9 +41,23 @@ class Words:
         import regex
 
         self.encoder = Encoder(path)
+        self.model = self.encoder.tokenizer.model
         self.split = regex.compile(WORD_PATTERN).findall
-        self.words = Bounded(lambda w: np.array(self.encoder.ids(w), "<u4").tobytes())
-        self.pieces = Bounded(lambda p: b"".join(map(self.words.__getitem__, self.split(p))))
+        self.pieces = Bounded(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece: one word, a word and its last mark, or what the pattern splits it into."""
+        if piece.isalpha():
+            return self._word(piece)
+        if piece[:-1].isalpha() and piece[-1] in ".,":
+            return self.pieces[piece[:-1]] + self.pieces[piece[-1]]
+        found = self.split(piece)
+        return self._word(piece) if found == [piece] else b"".join(map(self.pieces.__getitem__, found))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the pattern, straight from the library's model."""
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         if not self.encoder.plain(text):
@@ -57,15 +75,13 @@ class SumOfSquares:
 
     def place(self, length: int) -> int:
         """Smallest change of the squared counts; ties go to the fullest level, then a new window."""
-        levels = np.arange(self.window - length + 1)
-        after = self.count[length:] + 0  # a window of level h moves to h + length
-        change = 2 * (after - self.count[: len(levels)]) + 2
-        change[-1] = 1 - 2 * self.count[self.window - length]  # it closes
-        change[0] = 2 * after[0] + 1 if length < self.window else 0  # a new window opens
-        able = self.count[: len(levels)] > 0
-        able[0] = True
-        change = np.where(able, change, np.iinfo(np.int64).max)
-        return int(levels[::-1][np.argmin(change[::-1])])
+        levels = np.flatnonzero(self.count[: self.window - length + 1])[::-1]  # with open windows, fullest first
+        change = 2 * (self.count[levels + length] - self.count[levels]) + 2
+        if len(levels) and levels[0] + length == self.window:
+            change[0] = 1 - 2 * self.count[levels[0]]  # it closes
+        new = 2 * self.count[length] + 1 if length < self.window else 0
+        best = int(change.argmin()) if len(levels) else 0
+        return int(levels[best]) if len(levels) and change[best] <= new else 0
 
     def add(self, piece: tuple, length: int) -> list | None:
         """Put the piece where it belongs; a window that is now full comes back."""

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
+import stopline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +16,20 @@ WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package's code to the executors, once per application, as any job would."""
+    name = spark.sparkContext.applicationId
+    if name not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(stopline.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "stopline")
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", root, "stopline"))
+        _SHIPPED.add(name)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,4 +71,4 @@ def with_candidate(rows: DataFrame, key: str, filter_rows: DataFrame, bits: int,
     )
 
 
-__all__ = ["WHITE", "WORD", "bit_filter", "held_out", "stage", "table", "text_of", "with_candidate"]
+__all__ = ["WHITE", "WORD", "bit_filter", "held_out", "ship", "stage", "table", "text_of", "with_candidate"]

@@ -7,19 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.llm import exact_dedup, language_id, mixing, packing, private_data, token_counts
-from stopline.llm.common import held_out, table
+from stopline.llm import exact_dedup, language_id, mixing, neighbours, packing, private_data, token_counts, toxicity
+from stopline.llm.common import held_out, ship, table
 from stopline.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 1024
+TOXIC = 0.7
 
 
 def query(name: str, sql: str | None = None):
     def keep(build):
-        QUERIES[name] = lambda spark, sf_dir: build(prepare(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: build(ship(prepare(spark)), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return build
@@ -27,12 +28,25 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_neighbours")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).withColumn("held_out", held_out())
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))

@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stopline.llm import exact_dedup, mixing, packing
-from stopline.llm.common import table
+from stopline.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
+from stopline.llm.common import ship, table
 from stopline.session import prepare, work_path
 
 
+TOXIC = 0.7
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold; the model learns from the labels."""
+    model = toxicity.learn(docs, table(ship(spark), sf_dir, "labels"))
+    return toxicity.reject(docs, model, TOXIC)
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return exact_dedup.deduplicate(docs)
 
 
+def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    ship(spark)
+    return jaccard_join.keep_first(docs, jaccard_join.components(docs))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a document taken twice is two rows."""
     return mixing.take(docs, mixing.mix(docs))
@@ -21,10 +36,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and the sequences they lie in."""
+    ship(spark)
     return packing.with_digest(packing.pack(docs))
 
 
-STAGES = [("exact dedup", distinct), ("mixing", mixed), ("packing", packed)]
+STAGES = [
+    ("toxicity", clean),
+    ("exact dedup", distinct),
+    ("n-gram Jaccard join", apart),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 #: Classifier, components and tokenizer are not expressible in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

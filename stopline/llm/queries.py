@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.llm import exact_dedup, language_id, mixing, neighbours, packing, private_data, token_counts, toxicity
+from stopline.llm import (
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    mixing,
+    neighbours,
+    packing,
+    private_data,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from stopline.llm.common import held_out, ship, table
 from stopline.session import prepare
 
@@ -28,6 +39,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_neighbours")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -47,6 +64,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))

@@ -10,8 +10,8 @@ bitmaps and their range of set sizes. Two nodes are traversed together and dropp
 most their members could overlap is below the least that the threshold needs. What is left is
 verified on the whole sets, each pair once.
 
-Large groups of near copies are collapsed first: in a few rounds each representative is verified
-against one pivot of one of its buckets, and linked ones become one component. Then only buckets
+Large groups of near copies are collapsed first: each representative is verified against the pivots
+of a few of its buckets, and linked ones become one component. Then only buckets
 that still hold several components are searched in full, in blocks, and only pairs across
 components count: no link can be lost, and no group is expanded into its pairs.
 
@@ -39,6 +39,8 @@ SLOT_BITS = 20
 SLOT_BLOCK = 4096
 STAR_ROUNDS = 3
 BLOCK = 256
+MINI = 16
+MINI_SHARED = 8
 LEAF = 8
 FILTER_BITS = 24
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -130,15 +132,18 @@ def _described(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, classes = Shingles(size), shared.value
         for batch in batches:
-            n, sig, keys = [], [], []
+            n, sig, keys, mini, maps = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
                 n.append(len(tokens))
                 sig.append(signature(tokens))
                 keys.append(prefix(tokens, classes, percent).view(np.int64))
+                mini.append(tokens[:MINI].view(np.int64))
+                maps.append(bitmap(tokens, width_for(len(tokens))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "sig", "keys"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(mini, pa.list_(pa.int64())), pa.array(maps, pa.binary())],
+                names=["doc_id", "n", "sig", "keys", "mini", "map"],
             )
 
     return run
@@ -148,15 +153,18 @@ def _described(shared, size: int, percent: int):
 
 
 def bitmap(tokens: np.ndarray, width: int) -> bytes:
-    """One bit per token, ``width`` bits (a power of two)."""
+    """One bit for each token of a fixed quarter of the hash space, ``width`` bits (a power of two).
+
+    A token outside that quarter counts as hidden, like one that shares its bit."""
     bits = np.zeros(width, bool)
+    tokens = tokens[(tokens >> np.uint64(40)) % np.uint64(4) == 0]
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
 def width_for(n: int) -> int:
-    """About eight bits per token, up to 4 KB."""
-    return 1 << min(15, max(8, (8 * n - 1).bit_length()))
+    """About two to four bits for each token that gets one, up to 4 KB."""
+    return 1 << min(15, max(6, (n // 2).bit_length()))
 
 
 def folded(bits: int, width: int, to: int) -> int:
@@ -167,7 +175,7 @@ def folded(bits: int, width: int, to: int) -> int:
 
 
 class Node:
-    """Members or children, the or of their bitmaps, their sizes, and the most tokens that share a bit."""
+    """Members or children, the or of their bitmaps, their sizes, and the most tokens without a bit of their own."""
 
     __slots__ = ("below", "bits", "least", "most", "hidden", "member")
 
@@ -194,7 +202,7 @@ def possible(a: Node, b: Node, percent: int) -> bool:
     """Whether a member of a and one of b could link, by sizes and by the most they could overlap.
 
     Tokens in both sets have their bits in both maps; beyond the common bits, at most those tokens
-    that share a bit with another of their set."""
+    of a set that have no bit of their own."""
     if 100 * a.most < percent * b.least or 100 * b.most < percent * a.least:
         return False
     overlap = (a.bits & b.bits).bit_count() + min(a.hidden, b.hidden)
@@ -221,18 +229,24 @@ def candidates(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int,
 def _searched(percent: int):
     """Candidate pairs of each (key, i, j) unit; rows come sorted by unit."""
 
+    def by_width(rows: list[tuple]) -> dict[int, list[tuple]]:
+        out: dict[int, list[tuple]] = {}
+        for r in rows:
+            out.setdefault(8 * len(r[7]), []).append((r[3], r[4], r[5], int.from_bytes(r[7], "little")))
+        return out
+
     def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        """Sets that may link differ little in size, so their widths are equal or one step apart."""
         i, j = rows[0][1], rows[0][2]
-        width = min(8 * len(r[7]) for r in rows)
-        members = [(r[3], r[4], r[5], folded(int.from_bytes(r[7], "little"), 8 * len(r[7]), width)) for r in rows]
-        if i == j:
-            root = tree(members, width)
-            yield from candidates(root, root, percent)
-            return
-        one = [m for m, r in zip(members, rows) if r[6] == i]
-        two = [m for m, r in zip(members, rows) if r[6] == j]
-        if one and two:
-            yield from candidates(tree(one, width), tree(two, width), percent)
+        one, two = by_width([r for r in rows if r[6] == i]), by_width([r for r in rows if r[6] == j])
+        for w in one:
+            for v in (w // 2, w, 2 * w):
+                if v not in two or (i == j and v < w):
+                    continue
+                width = min(w, v)
+                x = tree([(*m[:3], folded(m[3], w, width)) for m in one[w]], width)
+                y = x if i == j and v == w else tree([(*m[:3], folded(m[3], v, width)) for m in two[v]], width)
+                yield from candidates(x, y, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -261,28 +275,30 @@ def _searched(percent: int):
 # --- verification and components ----------------------------------------------------------
 
 
-def _sets(shared, bits: int, size: int):
-    """Whole sets and bitmaps of the documents whose signature may be wanted."""
+def _sets(size: int):
+    """Whole sets of documents by signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, words = Shingles(size), shared.value
+        shingles = Shingles(size)
         for batch in batches:
-            rows: dict[int, tuple] = {}
-            for text in batch.column("text").to_pylist():
-                tokens = shingles(text)
-                sig = signature(tokens)
-                slot = sig % (1 << bits)
-                if len(tokens) and int(words[slot >> 6]) >> (slot & 63) & 1:
-                    rows[sig] = (len(tokens), tokens.tobytes(), bitmap(tokens, width_for(len(tokens))))
-            n, tokens, maps = zip(*rows.values()) if rows else ((), (), ())
+            rows = {signature(t): t.tobytes() for t in map(shingles, batch.column("text").to_pylist())}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.int64()), pa.array(n, pa.int64()), pa.array(tokens, pa.binary()), pa.array(maps, pa.binary())],
-                names=["sig", "n", "tokens", "map"],
+                [pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], names=["sig", "tokens"]
             )
 
     return run
 
 
+def whole_sets(rows: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(sig, tokens) of the signatures in the pairs: one document of each is read again."""
+    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    wanted = stage(wanted.join(ids, "sig").select("sig", F.xxhash64("first_id").alias("key")), "join-wanted")
+    words = stage(bit_filter(wanted, "key", 22), "join-wanted-filter")
+    few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, 22, "may").filter("may").select("text")
+    found = few.mapInArrow(_sets(size), "sig long, tokens binary").join(wanted.select("sig"), "sig", "left_semi")
+    return stage(found.groupBy("sig").agg(F.first("tokens").alias("tokens")), "join-sets")
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,25 +350,30 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(several.filter("lo <> hi").select("key", "m"), "key")
 
 
-def _star(rows: DataFrame, turn: int) -> DataFrame:
-    """Each representative with the pivot of one of its open buckets; another bucket each turn."""
-    one = rows.groupBy("sig", "comp").agg(F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("key"))
-    pivot = one.groupBy("key").agg(F.min(F.struct("sig", "comp")).alias("p"))
-    return (
-        one.join(pivot, "key")
-        .filter("comp <> p.comp")
-        .select(F.least("sig", "p.sig").alias("a"), F.greatest("sig", "p.sig").alias("b"))
-        .distinct()
-    )
+def _stars(members: DataFrame, sketches: DataFrame, turns: int, percent: int) -> DataFrame:
+    """Each representative with the pivots of a few of its buckets, one each turn.
+
+    Only pairs that are likely to link, by size and by their smallest hashes, are worth verifying
+    here; the full search that follows misses nothing."""
+    turn = F.explode(F.sequence(F.lit(1), F.lit(turns)))
+    one = members.withColumn("turn", turn).groupBy("sig", "turn")
+    one = one.agg(F.min_by("key", F.xxhash64("key", "turn")).alias("key")).select("sig", "key").distinct()
+    pivot = one.groupBy("key").agg(F.min("sig").alias("b"))
+    pairs = one.join(pivot, "key").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
+    of = lambda c: sketches.select(F.col("sig").alias(c), F.col("n").alias(f"{c}n"), F.col("mini").alias(f"{c}m"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    near = F.size(F.array_intersect("am", "bm")) >= F.least(F.lit(MINI_SHARED), F.size("am"), F.size("bm"))
+    size = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
+    return both.filter(near & size).select("a", "b")
 
 
-def _units(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+def _units(rows: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
     """Open buckets in blocks; each pair of blocks of a bucket is one unit of work."""
     blocks = F.ceil(F.col("m") / block).cast("int")
     placed = rows.withColumn("blocks", blocks).withColumn("at", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     meets = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = meets.select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "sig", "comp", "at")
-    joined = units.join(sets.select("sig", "n", "map"), "sig").select("key", "i", "j", "sig", "comp", "n", "at", "map")
+    joined = units.join(sketches.select("sig", "n", "map"), "sig").select("key", "i", "j", "sig", "comp", "n", "at", "map")
     return joined.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
@@ -370,33 +391,30 @@ def components(
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     classes = spark.sparkContext.broadcast(frequency_classes(rows.select("text"), size))
-    described = rows.mapInArrow(_described(classes, size, percent), f"doc_id {kind}, n long, sig long, keys array<long>")
+    described = rows.mapInArrow(
+        _described(classes, size, percent),
+        f"doc_id {kind}, n long, sig long, keys array<long>, mini array<long>, map binary",
+    )
     described = stage(described, "join-docs")
-    postings = described.filter("n > 0").select("sig", F.explode("keys").alias("key"))
+    filled = described.filter("n > 0")
+    postings = filled.select("sig", F.explode("keys").alias("key"))
     shared = postings.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).filter("lo <> hi").select("key")
     shared = stage(shared, "join-keys")
     words = stage(bit_filter(shared, "key", FILTER_BITS), "join-filter")
     may = with_candidate(postings, "key", words, FILTER_BITS, "may").filter("may").select("sig", "key").distinct()
     members = stage(may.join(shared, "key"), "join-members")
+    ids = stage(filled.groupBy("sig").agg(F.min("doc_id").alias("first_id")), "join-ids")
+    sketches = filled.groupBy("sig").agg(F.first("n").alias("n"), F.first("mini").alias("mini"), F.first("map").alias("map"))
+    sketches = stage(sketches, "join-sketches")
+
+    comps = stage(members.select("sig").distinct().withColumn("comp", F.col("sig")), "join-comps")
+    if star_rounds:
+        pairs = stage(_stars(members, sketches, star_rounds, percent), "join-pairs")
+        comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
+    searched = _units(_open(members, comps), sketches, block).mapInArrow(_searched(percent), "a long, b long")
+    pairs = stage(searched.distinct(), "join-pairs")
+    comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
 
-    wanted = members.select("sig").distinct()
-    flags = np.zeros(max(1, 1 << 22 >> 6), np.int64)
-    table = bit_filter(wanted, "sig", 22).toArrow()
-    flags[table.column("word").to_numpy()] = table.column("mask").to_numpy()
-    sets = rows.select("text").mapInArrow(
-        _sets(spark.sparkContext.broadcast(flags.view(np.uint64)), 22, size), "sig long, n long, tokens binary, map binary"
-    )
-    sets = sets.groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("map").alias("map"))
-    sets = stage(sets.join(wanted, "sig", "left_semi"), "join-sets")
-
-    comps = stage(wanted.withColumn("comp", F.col("sig")), "join-comps")
-    for turn in range(star_rounds):
-        links = verify(_star(_open(members, comps), turn), sets, percent)
-        comps = _merged(comps, links)
-    pairs = _units(_open(members, comps), sets, block).mapInArrow(_searched(percent), "a long, b long").distinct()
-    comps = _merged(comps, verify(pairs, sets, percent))
-
-    ids = described.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_id"))
     rooted = ids.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     smallest = rooted.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_sig = rooted.join(smallest, "comp").select("sig", "component_id")

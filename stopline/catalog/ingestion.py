@@ -371,8 +371,8 @@ def _(spark, sf):
 
 
 def _settled(spark, sf, parts):
-    events, labels, state = (work_path(spark, n) for n in ("events", "labels", "state"))
-    runs = tb.stage(d.poll_runs(spark, sf), "runs")
+    events, labels, state, runs = (work_path(spark, n) for n in ("events", "labels", "state", "runs"))
+    d.poll_runs(spark, sf).write.parquet(runs)
     job = jobs.SettleJob(runs, events, labels, state, inputs.RULES)
     jobs.work_off(d.stop_events(spark, sf), parts, job.handle)
     return spark.read.parquet(labels).select(*LABEL_COLS.split(", "))

@@ -13,8 +13,7 @@ from stopline.plans import train as tr
 from stopline.sources import derived as d
 
 RULES = d.RULES
-# Fewer rounds than the training plan's default: the queries show the job, not the best fit.
-QUERY_MODELS = scoring.ModelRules(logistic_iterations=100, boosting_rounds=20)
+QUERY_MODELS = scoring.ModelRules()
 
 
 def event_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -313,9 +313,8 @@ def _(spark, sf):
 @query("frozen_sensitivity")
 def _(spark, sf):
     rows = inputs.split_rows(spark, sf)
-    names = ["logistic_regression"]
-    base = metrics.evaluate(inputs.model_scores(spark, sf).filter(F.col("candidate").isin(names)))
-    return plan.frozen_sensitivity(rows, base, inputs.QUERY_MODELS, names)
+    base = metrics.evaluate(inputs.model_scores(spark, sf))
+    return plan.frozen_sensitivity(rows, base, inputs.QUERY_MODELS)
 
 
 @query("experiment_log")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from stopline.config import LOCAL_ZONE, SERVICE_DAY_START_HOUR
 MICROS = 1_000_000
 
 
+def as_utc(moment: datetime | None) -> datetime | None:
+    """A moment without a zone is UTC, whatever zone the driver runs in."""
+    return moment.replace(tzinfo=timezone.utc) if moment is not None and moment.tzinfo is None else moment
+
+
 def local_wall(instant: Column) -> Column:
     """Wall-clock time in the feed's zone, as a zone-less timestamp."""
     return F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), instant.cast("timestamp_ntz"))

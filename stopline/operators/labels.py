@@ -75,7 +75,7 @@ def abutting_times(times: DataFrame, gaps: DataFrame, rules: LabelRules) -> Data
     test into an equality join on the bucket; the number of buckets is bounded by the ledger's
     span. No nested loop and no forced broadcast.
     """
-    width = int(rules.settle_margin_seconds)
+    width = max(1, int(rules.settle_margin_seconds))
     reach = gaps.select(
         tc.plus_seconds(F.col("gap_start"), -rules.settle_margin_seconds).alias("reach_start"),
         F.col("gap_end").alias("reach_end"),

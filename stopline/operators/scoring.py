@@ -8,12 +8,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.config import FEATURE_COLUMNS, LabelRules
 from stopline.functions import numeric as num
 from stopline.operators import prefix
+from stopline.session import work_path
 
 BASELINES = ["baseline_always_on_time", "baseline_route_hour_rate", "baseline_persistence"]
 MODELS = ["logistic_regression", "gradient_boosting"]
@@ -133,6 +134,13 @@ def fit_boosting(marked: DataFrame, rules: ModelRules) -> PipelineModel:
     ).fit(marked)
 
 
+def stored_model(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as saved and loaded: without the fit's summary, which holds the session."""
+    path = work_path(spark, "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def _scored(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
     return model.transform(rows).select(
         F.lit(name).alias("candidate"),
@@ -157,6 +165,7 @@ def model_scores(
         else:
             fill = with_missing_marks
             fitted[name] = fit_boosting(fill(train), rules)
+        fitted[name] = stored_model(fitted[name], split_rows.sparkSession)
         scored.append(_scored(fitted[name], fill(split_rows), name + suffix))
     out = scored[0]
     for more in scored[1:]:

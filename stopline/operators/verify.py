@@ -5,7 +5,7 @@ minima and newest contributors, all on rows already reduced to one per distinct
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopline.operators import features as feat
@@ -30,10 +30,11 @@ def recompute_check(features: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("late").cast("int")).alias("late_rows"))
     )
     points = stored.groupBy(*feat.RATE_KEY, feat.AT).agg(F.sum("rows").alias("n"), F.sum("late_rows").alias("k"))
-    # Buckets of another width than the build's, so the two do not share their stitching.
-    again = prefix.prefix_sums(
-        points, feat.RATE_KEY, feat.AT, ["n", "k"], prefix.time_buckets(feat.AT, 7 * prefix.DAY, prefix.DAY)
-    ).select(*feat.RATE_KEY, feat.AT, F.try_divide("k_before", "n_before").alias("again"))
+    # A plain window, so that the check shares no step with the build; it holds one row per distinct time.
+    earlier = Window.partitionBy(*feat.RATE_KEY).orderBy(feat.AT).rowsBetween(Window.unboundedPreceding, -1)
+    again = points.select(
+        *feat.RATE_KEY, feat.AT, F.try_divide(F.sum("k").over(earlier), F.sum("n").over(earlier)).alias("again")
+    )
     wrong = (F.col(RATE).isNull() != F.col("again").isNull()) | (
         F.abs(F.coalesce(RATE, F.lit(0.0)) - F.coalesce("again", F.lit(0.0))) > TOLERANCE
     )

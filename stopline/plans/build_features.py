@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.config import LABEL_KEY
+from stopline.functions import timecols as tc
 from stopline.operators import features as feat
 from stopline.operators import gates, status
 from stopline.operators import labels as lab
@@ -23,7 +24,8 @@ def build_features(
     git_sha: str | None = None,
 ) -> DataFrame:
     """Run one build and record it; stored rows of labels excluded later are left in place."""
-    started = datetime.now()
+    started = datetime.now(timezone.utc)
+    since, until = tc.as_utc(since), tc.as_utc(until)
     spark = labels.sparkSession
     low, high = (None if v is None else F.lit(v).cast("timestamp") for v in (since, until))
     training = lab.training_labels(labels)

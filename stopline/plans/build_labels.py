@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.config import LABEL_KEY, LabelRules
+from stopline.functions import timecols as tc
 from stopline.operators import gates, ledger, status
 from stopline.operators import labels as lab
 from stopline.sources import tables as tb
@@ -44,17 +45,21 @@ def build_labels(
     """Run one build and record it, gates failed or not; returns the one-row record.
 
     Groups are staged once, so counting them, closing them and the gates read small tables."""
-    started = datetime.now()
+    started = datetime.now(timezone.utc)
     spark = stop_events.sparkSession
-    low, high, moment = (None if v is None else F.lit(v).cast("timestamp") for v in (since, until, as_of))
+    since, until, as_of = (tc.as_utc(v) for v in (since, until, as_of))
+    low, high = (None if v is None else F.lit(v).cast("timestamp") for v in (since, until))
+    # One value closes the groups and goes into the record; an empty ledger ends at the build's start.
+    latest = as_of or ledger.latest_cycle(runs).select(F.unix_micros("as_of")).first()[0]
+    latest = started if latest is None else latest
+    moment = F.timestamp_micros(F.lit(latest)) if isinstance(latest, int) else F.lit(latest).cast("timestamp")
     groups = tb.stage(lab.touched_groups(stop_events, low, high), "groups")
     rows = _close(groups, stop_events, runs, rules, moment).withColumn("built_at", F.lit(started).cast("timestamp"))
     written = tb.upsert(rows, labels_path, LABEL_KEY, "service_date_norm")
-    latest = ledger.latest_cycle(runs).select(
-        F.coalesce(moment if moment is not None else F.lit(None).cast("timestamp"), "as_of", F.lit(started)).alias("as_of")
-    )
     summary = gates.side_by_side(
-        groups.agg(F.count(F.lit(1)).alias("groups_considered")), gates.label_gates(written), latest
+        groups.agg(F.count(F.lit(1)).alias("groups_considered")),
+        gates.label_gates(written),
+        spark.range(1).select(moment.alias("as_of")),
     )
     record = tb.stage(
         status.transform_record("build_labels", summary, started, since, until or started, F.col("as_of"), git_sha), "record"

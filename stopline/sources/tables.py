@@ -7,7 +7,7 @@ executors never recompute it against a half-written target.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.functions import timecols as tc
@@ -72,10 +72,12 @@ def insert_absent(
     existing = read_or_none(spark, path)
     if existing is not None and partition:
         existing = existing.filter(F.col(partition).isin(_partition_values(batch, partition)))
-    seen = Observation()
-    writer = absent_rows(batch, existing, key).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+    fresh = absent_rows(batch, existing, key)
+    # Counted before the write, from the keys alone; an observed write would tie later models to the session.
+    n = fresh.count()
+    writer = fresh.write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return seen.get["n"]
+    return n
 
 
 def upsert(rows: DataFrame, path: str, key: list[str], partition: str | None = None) -> DataFrame:

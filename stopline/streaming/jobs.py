@@ -104,7 +104,7 @@ class SettleJob:
     history lies in the partitions of the touched days. Groups that were not yet settled, or whose
     settle window ended at the latest cycle, are carried to the next micro-batch."""
 
-    runs: DataFrame
+    runs_path: str
     events_path: str
     labels_path: str
     state_path: str
@@ -128,7 +128,8 @@ class SettleJob:
         history = spark.read.parquet(self.events_path).filter(F.col(DAY).isin(days))
         groups = tb.stage(lab.trip_stop_groups(history.join(keys, GROUP_KEY, "left_semi")).drop("touched"), "groups")
         moment = F.lit(as_of)
-        cycles = self.runs.filter(F.col("polled_at") <= moment)
+        # Read anew each time: a DataFrame bound at the start would never see later ledger rows.
+        cycles = spark.read.parquet(self.runs_path).filter(F.col("polled_at") <= moment)
         gaps = ledger.gap_intervals(cycles, self.rules.gap_threshold_seconds)
         times = groups.select(F.col("observed_span_end").alias("polled_at"))
         tb.upsert(lab.close_labels(groups, times, gaps, moment, self.rules), self.labels_path, LABEL_KEY, DAY)

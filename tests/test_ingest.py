@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stopline.functions import timecols as tc
 from stopline.operators import predictions as pr
 from stopline.plans import ingest
 from stopline.session import work_path
@@ -44,15 +45,22 @@ def test_eight_predictions_give_six_rows(spark):
     assert {x["service_date"] for x in rows.values()} == {dt.date(2026, 8, 12)}
 
 
-def test_a_schedules_own_date_wins_and_empty_text_is_no_date(spark):
+def test_a_schedules_own_date_wins(spark):
     body = feed.page(
         [feed.prediction(1, "a", schedule="x"), feed.prediction(2, "b", schedule="y")],
-        [feed.schedule("x", service_date="2026-08-01"), feed.schedule("y", arrival="", service_date=None)],
+        [feed.schedule("x", service_date="2026-08-01"), feed.schedule("y", service_date=None)],
     )
     rows = by_trip(reading(spark, (0, 1, body)).mapped)
     assert rows["a"]["service_date"] == dt.date(2026, 8, 1) and rows["b"]["service_date"] == dt.date(2026, 8, 12)
 
 
+def test_an_empty_time_breaks_the_contract_and_is_no_time_below_it(spark):
+    body = feed.page([feed.prediction(1, "a", schedule="x")], [feed.schedule("x", arrival="")])
+    r = reading(spark, (0, 1, body))
+    assert r.mapped.count() == 0 and r.found.count() == 1
+    assert spark.range(1).select(tc.parse_iso(F.lit("")).alias("t")).first()["t"] is None
+
+
 def test_split_pages_equal_one_page(spark):
     data, included = feed.eight()
     cut = reading(

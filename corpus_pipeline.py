@@ -48,7 +48,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Classifier, components and tokenizer are not expressible in SQL; tests hold run() against brute force.
+#: Classifier, components and tokenizer are not expressible in SQL.
 ORACLE_SQL = None
 
 

@@ -3,7 +3,7 @@
 Each vector is split into halves, and each half is quantised on its own; a pair of centroids is a
 cell. A query visits cells in order of their summed distance (here: the negative inner product with
 the two centroids), taken from a heap over the two sorted distance lists, until the cells visited
-hold ``visit`` of all entries. Every entry of a visited cell is scored exactly, in double precision.
+hold ``visit`` of all entries, and enough for ``k`` neighbours. Every entry of a visited cell is scored exactly, in double precision.
 
 Codebooks come from a bounded sample; every row is indexed. Cells with the same first centroid form
 a group; groups are dealt out in chunks of bounded size and queries in blocks of bounded size, so
@@ -111,12 +111,11 @@ def traverse(first: np.ndarray, second: np.ndarray, held: np.ndarray, enough: in
             heapq.heappush(heap, (d1[i + 1] + d2[j], i + 1, j))
 
 
-def _visits(shared, visit: float):
+def _visits(shared, enough: int):
     """Per query and group: which second centroids it visits there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second, held = shared.value
-        enough = math.ceil(held.sum() * visit)
         half = first.shape[1]
         for batch in batches:
             points = matrix(batch.column("vector"))
@@ -213,8 +212,11 @@ def search(
     for r in celled.groupBy("a", "b").count().toLocalIterator():
         held[r.a, r.b] = r["count"]
     asked = rows.filter("asked").select("vec_id", "vector").dropDuplicates(["vec_id"])
+    # the query's own row and repeats of ids among the entries seen must not leave fewer than k
+    repeated = int(held.sum()) - celled.select("vec_id").distinct().count()
+    enough = max(math.ceil(held.sum() * visit), k + 1 + repeated)
     visits = asked.mapInArrow(
-        _visits(spark.sparkContext.broadcast((*books, held)), visit), f"query_id long, query {kind}, a int, cells array<int>"
+        _visits(spark.sparkContext.broadcast((*books, held)), enough), f"query_id long, query {kind}, a int, cells array<int>"
     )
     blocks = max(1, math.ceil(asked.count() / block_queries))
     chunks = [max(1, math.ceil(int(n) / chunk_rows)) for n in held.sum(axis=1)]

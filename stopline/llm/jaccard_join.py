@@ -153,18 +153,15 @@ def _described(shared, size: int, percent: int):
 
 
 def bitmap(tokens: np.ndarray, width: int) -> bytes:
-    """One bit for each token of a fixed quarter of the hash space, ``width`` bits (a power of two).
-
-    A token outside that quarter counts as hidden, like one that shares its bit."""
+    """One bit for each token, ``width`` bits (a power of two); tokens that share a bit count as hidden."""
     bits = np.zeros(width, bool)
-    tokens = tokens[(tokens >> np.uint64(40)) % np.uint64(4) == 0]
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
 def width_for(n: int) -> int:
-    """About two to four bits for each token that gets one, up to 4 KB."""
-    return 1 << min(15, max(6, (n // 2).bit_length()))
+    """Two to four bits for each token, up to 4 KB."""
+    return 1 << min(15, max(6, (2 * n).bit_length()))
 
 
 def folded(bits: int, width: int, to: int) -> int:
@@ -353,12 +350,15 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
 def _stars(members: DataFrame, sketches: DataFrame, turns: int, percent: int) -> DataFrame:
     """Each representative with the pivots of a few of its buckets, one each turn.
 
-    Only pairs that are likely to link, by size and by their smallest hashes, are worth verifying
+    The pivot is the member that shares the largest part of its own keys with others: a copy with few
+    changes of its own, which is close to more of the group than one picked at random. Only pairs that are likely to link, by size and by their smallest hashes, are worth verifying
     here; the full search that follows misses nothing."""
     turn = F.explode(F.sequence(F.lit(1), F.lit(turns)))
     one = members.withColumn("turn", turn).groupBy("sig", "turn")
     one = one.agg(F.min_by("key", F.xxhash64("key", "turn")).alias("key")).select("sig", "key").distinct()
-    pivot = one.groupBy("key").agg(F.min("sig").alias("b"))
+    part = members.groupBy("sig").agg(F.count(F.lit(1)).alias("shared"))
+    part = part.join(sketches, "sig").select("sig", (F.col("shared") / F.col("keys")).alias("part"))
+    pivot = members.join(part, "sig").groupBy("key").agg(F.max_by("sig", F.struct("part", "sig")).alias("b"))
     pairs = one.join(pivot, "key").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
     of = lambda c: sketches.select(F.col("sig").alias(c), F.col("n").alias(f"{c}n"), F.col("mini").alias(f"{c}m"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
@@ -404,7 +404,8 @@ def components(
     may = with_candidate(postings, "key", words, FILTER_BITS, "may").filter("may").select("sig", "key").distinct()
     members = stage(may.join(shared, "key"), "join-members")
     ids = stage(filled.groupBy("sig").agg(F.min("doc_id").alias("first_id")), "join-ids")
-    sketches = filled.groupBy("sig").agg(F.first("n").alias("n"), F.first("mini").alias("mini"), F.first("map").alias("map"))
+    of_sig = [F.first(c).alias(c) for c in ("n", "mini", "map")]
+    sketches = filled.groupBy("sig").agg(*of_sig, F.first(F.size("keys")).alias("keys"))
     sketches = stage(sketches, "join-sketches")
 
     comps = stage(members.select("sig").distinct().withColumn("comp", F.col("sig")), "join-comps")

@@ -22,6 +22,7 @@ as documents with that id. Sets are compared by 64-bit hashes of their shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,8 +161,8 @@ def bitmap(tokens: np.ndarray, width: int) -> bytes:
 
 
 def width_for(n: int) -> int:
-    """Two to four bits for each token, up to 4 KB."""
-    return 1 << min(15, max(6, (2 * n).bit_length()))
+    """Four to eight bits for each token of small sets, one to two from 1,024 tokens on, up to 4 KB."""
+    return 1 << min(15, max(6, min((4 * n).bit_length(), 10), n.bit_length()))
 
 
 def folded(bits: int, width: int, to: int) -> int:
@@ -340,11 +341,26 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return stage(joined.select("sig", F.coalesce("label", "comp").alias("comp")), "join-comps")
 
 
-def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, sig, comp, m) of the buckets that hold more than one component."""
-    rows = members.join(comps, "sig")
-    several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    return rows.join(several.filter("lo <> hi").select("key", "m"), "key")
+def _several(rows: DataFrame) -> DataFrame:
+    """(key, sig, comp, m) of the buckets that hold more than one component.
+
+    Of buckets with the same members, told by their number and two 64-bit hashes, one is enough."""
+    marks = [F.bit_xor(F.xxhash64("sig", F.lit(k))).alias(f"mark{k}") for k in range(2)]
+    buckets = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"), *marks)
+    once = buckets.filter("lo <> hi").groupBy("m", "mark0", "mark1").agg(F.min("key").alias("key"))
+    return rows.join(once.select("key", "m"), "key")
+
+
+def _open(members: DataFrame, comps: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The open buckets, split into bands of like set size.
+
+    Sizes of linked sets lie in the same or in adjacent classes; a band holds two adjacent ones."""
+    rows = stage(_several(members.join(comps, "sig")).drop("m"), "join-open")
+    width = math.log(100 / percent) + 1e-6
+    of_size = F.floor(F.log("n") / width)
+    banded = rows.join(sketches.select("sig", of_size.alias("class")), "sig")
+    banded = banded.withColumn("band", F.explode(F.array(F.col("class"), F.col("class") + 1)))
+    return _several(banded.select(F.xxhash64("key", "band").alias("key"), "sig", "comp"))
 
 
 def _stars(members: DataFrame, sketches: DataFrame, turns: int, percent: int) -> DataFrame:
@@ -412,7 +428,7 @@ def components(
     if star_rounds:
         pairs = stage(_stars(members, sketches, star_rounds, percent), "join-pairs")
         comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
-    searched = _units(_open(members, comps), sketches, block).mapInArrow(_searched(percent), "a long, b long")
+    searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(_searched(percent), "a long, b long")
     pairs = stage(searched.distinct(), "join-pairs")
     comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
 

@@ -10,6 +10,8 @@ from stopline.session import prepare, work_path
 
 
 TOXIC = 0.7
+#: Near copies share this many per cent of their shingles of so many words; op5's own defaults differ.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     ship(spark)
-    return jaccard_join.keep_first(docs, jaccard_join.components(docs))
+    return jaccard_join.keep_first(docs, jaccard_join.components(docs, percent=NEAR_PERCENT, size=NEAR_WORDS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each stage of the pipeline against brute force, on planted documents and through stored tables."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -102,3 +103,36 @@ def test_run_gives_the_same_pieces(spark, stages):
     after, folder = stages[0][5], stages[1]
     key = lambda rows: Counter((r.doc_id, r.doc_tokens) for r in rows if r.start == 0)
     assert key(corpus_pipeline.run(spark, folder).collect()) == key(after)
+
+
+def runs(text):
+    words = [w.lower() for w in WHITE.split(text or "") if w]  # the planted texts are ASCII
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def first_of_near_copies(rows):
+    """Smallest id of each row's group, for texts that share 0.8 of their runs of five words."""
+    sets, group = [(i, runs(t)) for i, t in rows], list(range(len(rows)))
+    for a, (_, x) in enumerate(sets):
+        for b, (_, y) in enumerate(sets[:a]):
+            if x and 5 * len(x & y) >= 4 * len(x | y):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    return [min(i for (i, _), h in zip(rows, group) if h == g) for g in group]
+
+
+def test_near_copies_share_four_fifths_of_five_word_runs(spark, docs, tmp_path):
+    rng = random.Random(12)
+    rows = []
+    for f, changed in enumerate([0, 1, 2, 3, 4, 5, 6, 8] * 3):
+        words = [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(140)]
+        copy = list(words)
+        for k in range(changed):  # each changes five runs, apart from each other
+            copy[10 + 12 * k] = f"x{f}y{k}"
+        rows += [(100 * f, " ".join(words)), (100 * f + 1, " ".join(copy))]
+    rows += [(9000, None), (9001, ""), (9002, "two words"), (9003, "TWO words")]
+    want = sorted(i for (i, _), c in zip(rows, first_of_near_copies(rows)) if i == c)
+    looser = sorted(i for i, _, c in near_copies(rows) if i == c)
+    assert set(want) < set(looser)
+    kept = corpus_pipeline.apart(spark, docs(*rows), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == want

@@ -1,15 +1,17 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of what gives them away.
 
 The patterns find protected entities. A term near an entity's mention discloses it if knowing the
-term removes most of the uncertainty about the entity: with counts over all documents, the term's
+term removes most of the uncertainty about the entity: with counts over all different texts, the term's
 pointwise mutual information with the entity is at least ``alpha`` times the entity's own
-information. Support is counted over different contexts, so copies of one passage say nothing.
+information. Support is counted over different contexts, so copies of one passage say nothing;
+copies of a text count as one everywhere, so they neither add to nor take from what a term tells.
 Such terms are marked wherever they occur; ``sanitise`` generalises or removes all marks.
 
 Co-occurring pairs come from short windows around mentions only. How often a term occurs in the
 corpus is counted for terms in those pairs alone: a bit filter of fixed size tells the scan which
-words may be needed, and a join settles it exactly. Nothing that grows with the corpus is
-broadcast or sent to the driver.
+words may be needed, and a join settles it exactly. A second one tells which texts may have copies;
+only those send their terms with the text's hash, to be counted once. Nothing that grows with the
+corpus is broadcast or sent to the driver.
 
 Defined results: a null text is empty and has no spans. Offsets are code points, end exclusive.
 A mark on a term never overlaps a pattern's span. Rows that repeat an id and text get the same
@@ -39,6 +41,7 @@ REACH = 400
 MIN_SUPPORT = 3
 ALPHA = 0.8
 FILTER_BITS = 22
+ROOM = 200_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -125,13 +128,15 @@ def _inside(span: tuple[int, int], taken: list[tuple[int, int]]) -> bool:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = set()
-        for text in batch.column("text").to_pylist():
+        for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
             for name, context, terms in contexts(text, base_spans(text)):
-                out.update((name, key_of(t), context) for t in terms)
-        names, terms, seen = zip(*out) if out else ((), (), ())
+                out.update((name, key_of(t), context, key) for t in terms)
+                if not terms:
+                    out.add((name, None, context, key))
+        names, terms, seen, keys = zip(*out) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array(terms, pa.int64()), pa.array(seen, pa.int64())],
-            names=["entity", "term", "context"],
+            [pa.array(names, pa.string()), pa.array(terms, pa.int64()), pa.array(seen, pa.int64()), pa.array(keys, pa.int64())],
+            names=["entity", "term", "context", "key"],
         )
 
 
@@ -162,19 +167,29 @@ class _Wanted:
         return self.known[word]
 
 
-def _occurring(shared, bits: int):
-    """Per batch: in how many texts each wanted term occurs."""
+def _occurring(shared, copied, bits: int):
+    """Per batch: in how many texts each wanted term occurs. A text that may have copies gives its
+    terms with its ``key``, every other text counts at once and without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = _Wanted(shared.value, bits)
+        wanted, copies, done = _Wanted(shared.value, bits), copied.value, set()
         for batch in batches:
-            counts: dict[int, int] = {}
-            for text in batch.column("text").to_pylist():
-                for key in {wanted(w) for w in set(TERMS.findall(text.lower()))}:
-                    if key is not None:
-                        counts[key] = counts.get(key, 0) + 1
+            counts: dict[tuple[int, int | None], int] = {}
+            for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
+                if key in done:
+                    continue
+                name = key if maybe(copies, bits, key) else None
+                if name is not None:
+                    if len(done) >= ROOM:
+                        done.clear()
+                    done.add(key)
+                for term in {wanted(w) for w in set(TERMS.findall(text.lower()))}:
+                    if term is not None:
+                        counts[term, name] = counts.get((term, name), 0) + 1
+            terms, names = zip(*counts) if counts else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"]
+                [pa.array(terms, pa.int64()), pa.array(names, pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                names=["term", "key", "n"],
             )
 
     return run
@@ -185,21 +200,29 @@ def disclosing_terms(
 ) -> DataFrame:
     """Keys of the terms (``term``) that disclose some entity, with their counts and ``information``."""
     spark = docs.sparkSession
-    texts = docs.select(text_of(text_col).alias("text"))
-    seen = texts.mapInArrow(_pairs, "entity string, term long, context long").distinct()
+    texts = docs.select(text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("key"))
+    seen = texts.mapInArrow(_pairs, "entity string, term long, context long, key long").distinct()
     seen = stage(seen, "pii-contexts")
-    pairs = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
-    pairs = stage(pairs.filter(F.col("together") >= min_support), "pii-pairs")
-    entities = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("mentions"))
+    near = seen.filter(F.col("term").isNotNull())
+    support = near.select("entity", "term", "context").distinct().groupBy("entity", "term").count()
+    support = support.filter(F.col("count") >= min_support).select("entity", "term")
+    both = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
+    pairs = stage(both.join(support, ["entity", "term"]), "pii-pairs")
+    entities = seen.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("mentions"))
     words = filter_words(pairs.select("term").distinct(), "term", bits)
-    total = texts.count()
+    different = stage(texts.groupBy("key").count(), "pii-texts")
+    total = different.count()
     if not words.any():
-        counted = spark.createDataFrame([], "term long, n long")
+        counted = spark.createDataFrame([], "term long, key long, n long")
     else:
-        counted = texts.mapInArrow(_occurring(spark.sparkContext.broadcast(words), bits), "term long, n long")
+        copied = spark.sparkContext.broadcast(filter_words(different.filter("count > 1"), "key", bits))
+        wanted = spark.sparkContext.broadcast(words)
+        counted = texts.mapInArrow(_occurring(wanted, copied, bits), "term long, key long, n long")
+        # of a text that may have copies one row counts
+        counted = counted.groupBy("term", "key").agg(F.when(F.col("key").isNull(), F.sum("n")).otherwise(1).alias("n"))
     frequency = counted.groupBy("term").agg(F.sum("n").alias("texts"))
     joined = pairs.join(entities, "entity").join(frequency, "term")
-    # a term cannot occur in fewer texts than it has contexts with the entity; copies can only add
+    # a window may cut a word, and a cut word is a term that the whole text does not hold
     texts_with = F.greatest("texts", "together")
     own = -F.log2(F.col("mentions") / F.lit(float(max(total, 1))))
     mutual = F.log2(F.col("together") * float(max(total, 1)) / (F.col("mentions") * texts_with))

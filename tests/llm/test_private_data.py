@@ -78,6 +78,19 @@ def test_copies_of_one_context_disclose_nothing(docs):
     assert {r.doc_id: r.spans for r in private_data.find(docs(*rows)).collect()}[99] == ""
 
 
+@pytest.mark.parametrize("vary", [False, True])
+def test_copies_of_disclosing_texts_do_not_hide_their_terms(docs, vary):
+    """Copies as they are, and the same passages in texts that differ far from the mention."""
+    rows = planted()
+    far = lambda n: f" {'so ' * 200}end{n}" if vary else ""
+    rows += [(1000 * (n + 1) + k, t + far(n)) for n in range(60) for k, t in rows[:5]]
+    rows += [(100_000 + n, "later Quillabert left") for n in range(60)]
+    got = {r.doc_id: r.spans for r in private_data.find(docs(*rows)).collect()}
+    assert got[200] == got[100_007] == "term:6:16" and len(got) == len(rows) - 1
+    assert all("term:" in got[k] and "term:" in got[1000 + k] for k in range(5))
+    assert all("term:" not in got[100 + k] for k in range(30))
+
+
 def test_empty_table_and_long_text(docs):
     assert private_data.find(docs((1, "a")).filter("false")).collect() == []
     (row,) = private_data.find(docs((1, "word " * 200_000 + "x@y.zz"))).collect()

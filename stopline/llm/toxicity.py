@@ -15,7 +15,8 @@ hash of their word shingles count once.
 Defined results: a null or empty text has no tokens and the score of the curve at zero. Without both
 labels among the training documents every score is 0. Rows that repeat an id and text get the same
 score; if labels repeat an id, one toxic label is enough. Whole texts are read; nothing but the
-model, of bounded size, is broadcast.
+model and bit filters is broadcast. The model grows with the number of cues, which are all traits
+that pass the test, however rare; only they reach the driver.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,6 @@ from stopline.llm.vocabulary import Bounded
 TOKEN = re.compile(r"\w+")
 ENDS = (3, 4, 5, 6, 7)
 MIN_DOCS = 4
-MOST_CUES = 50_000
 LEAST_SURPRISE = 8.0
 LEAST_ODDS = 3.0
 SAMPLE_DOCS = 600
@@ -82,24 +83,34 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     return stage(only(chosen).join(chosen.distinct(), "doc_id"), "toxic-train")
 
 
-def _presence(known: frozenset | None, room: int = 300_000):
-    """Per task: in how many texts each trait occurs; of the known traits only, where given."""
+def trait_key(trait: str) -> int:
+    return xxhash.xxh3_64_intdigest(trait) - (1 << 63)
+
+
+def _presence(wanted, room: int = 300_000):
+    """Per task: in how many texts each trait occurs; of those in the bit filter only, where given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
-        parts = Bounded(traits)
+        words = None if wanted is None else wanted.value
+
+        def kept(word: str) -> list[str]:
+            return [t for t in traits(word) if words is None or _in(words, trait_key(t))]
+
+        parts = Bounded(kept)
 
         def out() -> pa.RecordBatch:
+            keys = [trait_key(t) for t in counts]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["trait", "n"]
+                [pa.array(list(counts), pa.string()), pa.array(keys, pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                names=["trait", "key", "n"],
             )
             counts.clear()
             return batch
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                seen = {t for w in set(TOKEN.findall(text.lower())) for t in parts[w]}
-                for t in seen if known is None else seen & known:
+                for t in {t for w in set(TOKEN.findall(text.lower())) for t in parts[w]}:
                     counts[t] = counts.get(t, 0) + 1
                 if len(counts) > room:
                     yield out()
@@ -108,25 +119,37 @@ def _presence(known: frozenset | None, room: int = 300_000):
     return run
 
 
-def cues(train: DataFrame, min_docs: int, most: int, surprise: float) -> dict[str, float]:
+def _in(words: np.ndarray, key: int) -> bool:
+    slot = key % (1 << FILTER_BITS)
+    return bool(int(words[slot >> 6]) >> (slot & 63) & 1)
+
+
+def cues(train: DataFrame, min_docs: int, surprise: float) -> dict[str, float]:
     """Strength of each cue: its log odds, where its toxic count is far beyond chance."""
     toxic, clean = train.filter("toxic = 1").select("text"), train.filter("toxic = 0").select("text")
     n_toxic, n_clean = toxic.count(), clean.count()
     if not n_toxic or not n_clean:
         return {}
-    schema = "trait string, n long"
-    found = toxic.mapInArrow(_presence(None), schema).groupBy("trait").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
-    there = {r.trait: r.n for r in found.orderBy(F.desc("n"), "trait").limit(most).toLocalIterator()}
-    other = clean.mapInArrow(_presence(frozenset(there)), schema).groupBy("trait").agg(F.sum("n").alias("n"))
-    elsewhere = {r.trait: r.n for r in other.toLocalIterator()}
+    schema, share = "trait string, key long, n long", n_toxic / (n_toxic + n_clean)
+
+    def evident(c):
+        """Evidence of a likelihood ratio, and present far more often in toxic documents."""
+        expected = (F.col("a") + c) * share
+        odds = F.log((F.col("a") + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+        return (F.col("a") > expected) & (F.col("a") * F.log(F.col("a") / expected) - (F.col("a") - expected) >= surprise) & (odds >= LEAST_ODDS)
+
+    found = toxic.mapInArrow(_presence(None), schema).groupBy("trait", "key").agg(F.sum("n").alias("a"))
+    # what would be no cue even if no clean text held it is none
+    found = stage(found.filter((F.col("a") >= min_docs) & evident(F.lit(0))), "toxic-traits")
+    words = np.zeros(1 << FILTER_BITS >> 6, np.int64)
+    for r in bit_filter(found, "key", FILTER_BITS).toLocalIterator():
+        words[r.word] = r.mask
+    wanted = train.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+    other = clean.mapInArrow(_presence(wanted), schema).groupBy("trait").agg(F.sum("n").alias("c"))
+    both = found.join(other, "trait", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     out = {}
-    for trait, a in there.items():
-        c = elsewhere.get(trait, 0)
-        expected = (a + c) * n_toxic / (n_toxic + n_clean)
-        odds = np.log((a + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
-        # evidence of a likelihood ratio, and present far more often in toxic documents
-        if a > expected and a * np.log(a / expected) - (a - expected) >= surprise and odds >= LEAST_ODDS:
-            out[trait] = float(odds)
+    for r in both.filter(evident(F.col("c"))).orderBy(F.desc("a"), "trait").select("trait", "a", "c").toLocalIterator():
+        out[r.trait] = float(np.log((r.a + 0.5) / (n_toxic + 1)) - np.log((r.c + 0.5) / (n_clean + 1)))
     return out
 
 
@@ -300,7 +323,6 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     min_docs: int = MIN_DOCS,
-    most_cues: int = MOST_CUES,
     surprise: float = LEAST_SURPRISE,
     sample_docs: int = SAMPLE_DOCS,
     sample_chars: int = SAMPLE_CHARS,
@@ -308,7 +330,7 @@ def learn(
     """The fitted model. Cues are counted over all training documents; field and curve are fitted on
     at most ``sample_docs`` documents of each label that have at most ``sample_chars`` characters."""
     train = training_texts(docs, labels, id_col, text_col, label_col)
-    model = Field(cues(train, min_docs, most_cues, surprise))
+    model = Field(cues(train, min_docs, surprise))
     if not model.strength:
         return model
     texts, toxic = [], []

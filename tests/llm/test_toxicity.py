@@ -94,3 +94,13 @@ def test_accuracy_on_held_out_documents(spark):
     said = [r for r in rows if r.score >= 0.7]
     right = sum(r.toxic == 1 for r in said)
     assert right >= 0.9 * len(said) and right >= 0.75 * sum(r.toxic == 1 for r in rows)
+
+
+def test_a_rare_cue_is_found_behind_many_frequent_traits(spark):
+    """More than 50,000 traits of toxic documents are more frequent than the cue, and none of them is one."""
+    plain = " ".join(f"w{k}" for k in range(52_000))
+    rows = [(f"{plain} grobnak" if k < 12 else plain, 1) for k in range(14)]
+    rows += [(plain, 0) for _ in range(60)]
+    train = spark.createDataFrame(rows, "text string, toxic int")
+    found = toxicity.cues(train, min_docs=4, surprise=toxicity.LEAST_SURPRISE)
+    assert "=grobnak" in found and all("grobnak".startswith(t[2:]) or "grobnak".endswith(t[2:]) for t in found if t != "=grobnak")

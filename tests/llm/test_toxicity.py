@@ -104,3 +104,15 @@ def test_a_rare_cue_is_found_behind_many_frequent_traits(spark):
     train = spark.createDataFrame(rows, "text string, toxic int")
     found = toxicity.cues(train, min_docs=4, surprise=toxicity.LEAST_SURPRISE)
     assert "=grobnak" in found and all("grobnak".startswith(t[2:]) or "grobnak".endswith(t[2:]) for t in found if t != "=grobnak")
+
+
+def test_only_copies_collapse_and_texts_that_share_a_passage_all_count(spark, docs):
+    rng = random.Random(4)
+    some = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(n))
+    ids = [i for i in range(400) if teachable(i)]
+    passage, copied = some(60), some(200)
+    rows = [(i, f"{some(50)} {passage} {some(10)}") for i in ids[:100]]
+    rows += [(i, copied) for i in ids[100:140]] + [(i, f"{copied} end{i}") for i in ids[140:160]]
+    labels = spark.createDataFrame([(i, 0) for i, _ in rows], "doc_id long, toxic int")
+    kept = toxicity.training_texts(docs(*rows), labels, "doc_id", "text", "toxic")
+    assert sorted(r.doc_id for r in kept.collect()) == ids[:101]

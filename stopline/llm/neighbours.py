@@ -150,6 +150,12 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return chosen[np.lexsort((ids[chosen], -scores[chosen]))]
 
 
+def nearest_of_each(scores: np.ndarray, ids: np.ndarray, may: np.ndarray) -> np.ndarray:
+    """Of the positions ``may`` the best one of each id, by id."""
+    may = may[np.lexsort((-scores[may], ids[may]))]
+    return may[np.flatnonzero(np.diff(ids[may], prepend=ids[may][:1] - 1))]
+
+
 def _scored(k: int, centroids: int):
     """One chunk of entries against one block of queries: the k best of each query there."""
 
@@ -158,6 +164,7 @@ def _scored(k: int, centroids: int):
         order = np.argsort(ids, kind="stable")
         points = matrix(entries.column("vector"))[order]
         ids, cell = ids[order], entries.column("b").to_numpy()[order]
+        repeats = bool((ids[1:] == ids[:-1]).any())
         out_q, out_ids, out_scores = [], [], []
         asked = matrix(queries.column("query"))
         for start in range(0, len(queries), 256):
@@ -168,6 +175,8 @@ def _scored(k: int, centroids: int):
                 visited = np.zeros(centroids, bool)
                 visited[cells] = True
                 may = np.flatnonzero(visited[cell] & (ids != name))
+                if repeats:
+                    may = nearest_of_each(row, ids, may)
                 top = may[best(row[may], ids[may], k)]
                 out_q.append(name)
                 out_ids.append(ids[top])

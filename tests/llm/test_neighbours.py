@@ -51,6 +51,17 @@ def test_repeated_rows_few_candidates_and_empty_table(spark):
     assert nn.search(table(spark, rows).filter("false"), F.lit(True)).collect() == []
 
 
+def test_more_than_k_repeats_of_near_ids_leave_room_for_the_next(spark):
+    near = [(1, [9.0, 9.0, 0.0, 0.0])] * 9 + [(2, [8.0, 8.0, 0.0, float(j)]) for j in range(7)]
+    rows = [(0, [1.0, 1.0, 0.0, 1.0]), *near, *[(10 + j, [7.0 - j, 1.0, 0.0, 0.0]) for j in range(6)]]
+    best = {}
+    for i, v in rows[1:]:
+        best[i] = max(best.get(i, -99.0), v[0] + v[1] + v[3])
+    want = sorted((-s, i) for i, s in best.items())[:4]
+    got = nn.search(table(spark, rows), F.col("vec_id") == 0, k=4, visit=1.0, centroids=1)
+    assert sorted(map(tuple, got.collect())) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
 def test_cells_come_in_order_of_their_summed_distance():
     rng = np.random.default_rng(5)
     first, second = rng.random(7), rng.random(5)

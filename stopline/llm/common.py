@@ -57,6 +57,11 @@ def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
     )
 
 
+def filter_bits(keys: int, per_key: int = 16, most: int = 26) -> int:
+    """Bits for that many keys, as a power of two; at most 2**most bits (16 MB of rows to broadcast)."""
+    return min(most, max(10, (per_key * keys).bit_length()))
+
+
 def with_candidate(rows: DataFrame, key: str, filter_rows: DataFrame, bits: int, name: str) -> DataFrame:
     """Add boolean ``name``: whether the key may be in the filter (never a false no)."""
     slot = F.pmod(F.col(key), F.lit(1 << bits))
@@ -71,4 +76,4 @@ def with_candidate(rows: DataFrame, key: str, filter_rows: DataFrame, bits: int,
     )
 
 
-__all__ = ["WHITE", "WORD", "bit_filter", "held_out", "ship", "stage", "table", "text_of", "with_candidate"]
+__all__ = ["WHITE", "WORD", "bit_filter", "filter_bits", "held_out", "ship", "stage", "table", "text_of", "with_candidate"]

@@ -11,6 +11,7 @@ from stopline.llm import (
     exact_dedup,
     jaccard_join,
     language_id,
+    line_dedup,
     mixing,
     neighbours,
     packing,
@@ -106,3 +107,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query(
+    "op11_line_dedup",
+    """
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+        FROM documents),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines),
+    repeated AS (
+        SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+    judged AS (
+        SELECT k.*, first IS NOT NULL AND doc_id <> first AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

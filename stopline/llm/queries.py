@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.llm import (
+    alignment,
     exact_dedup,
     jaccard_join,
     language_id,
@@ -15,6 +17,7 @@ from stopline.llm import (
     mixing,
     neighbours,
     packing,
+    periodic_runs,
     private_data,
     suffix_dedup,
     token_counts,
@@ -133,3 +136,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def contract_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Op13's words: in a tenth of the documents a tail repeats with a period given by the id."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), change=contract_words)
+    return periodic_runs.with_digests(found)

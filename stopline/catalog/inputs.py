@@ -43,10 +43,27 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FITTED: dict[tuple[str, str], scoring.Fitted] = {}
+
+
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.stored(
-        spark, sf_dir, "scores", lambda: scoring.model_scores(split_rows(spark, sf_dir), QUERY_MODELS)[0]
-    )
+    """Scores of the fitted models, stored; the models themselves are small and stay at hand."""
+
+    def build() -> DataFrame:
+        scored, _FITTED[spark.sparkContext.applicationId, sf_dir] = scoring.model_scores(split_rows(spark, sf_dir), QUERY_MODELS)
+        return scored
+
+    return d.stored(spark, sf_dir, "scores", build)
+
+
+def fitted(spark: SparkSession, sf_dir: str) -> scoring.Fitted:
+    model_scores(spark, sf_dir)
+    return _FITTED[spark.sparkContext.applicationId, sf_dir]
+
+
+def frozen_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = fitted(spark, sf_dir).facts
+    return d.stored(spark, sf_dir, "frozen", lambda: tr.frozen_scores(split_rows(spark, sf_dir), QUERY_MODELS, facts))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,38 +291,113 @@ def _(spark, sf):
     return results.withColumns({c: F.round(c, 9) for c in ("pr_auc", "roc_auc")})
 
 
-# --- fitted models
+# --- fitted models: what must hold of any right fit, and the results themselves
 
+SIZES = "SELECT split, count(*) AS rows, CAST(sum(CAST(late AS INTEGER)) AS BIGINT) AS positives FROM sp GROUP BY split"
 
-def _model(name):
-    def build(spark, sf):
-        return metrics.evaluate(inputs.model_scores(spark, sf).filter(F.col("candidate") == name))
 
-    query(name)(build)
+def _train(spark, sf):
+    return inputs.split_rows(spark, sf).filter(F.col("split") == "train")
 
 
-_model("logistic_regression")
-_model("gradient_boosting")
+def _scores_of(spark, sf, name):
+    return scoring.score_check(inputs.model_scores(spark, sf).filter(F.col("candidate") == name))
 
 
-@query("best_model")
+@query(
+    "logistic_regression",
+    check(
+        "SELECT 'logistic_regression' AS candidate, split, rows, positives, CAST(0 AS BIGINT) AS outside, true AS stationary "
+        f"FROM ({SIZES})"
+    ),
+)
 def _(spark, sf):
-    return metrics.best_candidate(metrics.evaluate(inputs.model_scores(spark, sf))).select("candidate", "pr_auc")
+    """Rows and positives scored, scores outside 0 to 1, and whether the loss is flat at the fit."""
+    steepest = scoring.logistic_gradient(inputs.fitted(spark, sf), _train(spark, sf)).scalar()
+    return _scores_of(spark, sf, "logistic_regression").withColumn("stationary", steepest < 1e-4)
 
 
-@query("frozen_sensitivity")
+@query(
+    "gradient_boosting",
+    check(
+        "SELECT 'gradient_boosting' AS candidate, split, rows, positives, CAST(0 AS BIGINT) AS outside, "
+        f"0 AS leaf_errors, 0 AS refit_errors FROM ({SIZES})"
+    ),
+)
 def _(spark, sf):
-    rows = inputs.split_rows(spark, sf)
-    base = metrics.evaluate(inputs.model_scores(spark, sf))
-    return plan.frozen_sensitivity(rows, base, inputs.QUERY_MODELS)
+    """Rows and positives scored, scores outside 0 to 1, leaves off their Newton step, nodes a refit changes."""
+    model = inputs.fitted(spark, sf).models["gradient_boosting"]
+    found = scoring.boosting_check(model, _train(spark, sf), inputs.QUERY_MODELS)
+    return _scores_of(spark, sf, "gradient_boosting").withColumns({k: F.lit(n) for k, n in found.items()})
 
 
-@query("experiment_log")
+@query("best_model", check("SELECT CAST(2 AS BIGINT) AS candidates, CAST(0 AS BIGINT) AS better, true AS among_them"))
 def _(spark, sf):
+    """The models compared, those with a larger PR-AUC than the best one, and whether it is one of them."""
+    results = metrics.evaluate(inputs.model_scores(spark, sf))
+    best = metrics.best_candidate(results).select(F.struct("candidate", "pr_auc")).scalar()
+    return results.withColumn("best", best).agg(
+        F.count(F.lit(1)).alias("candidates"),
+        F.count_if(F.col("pr_auc") > F.col("best.pr_auc")).alias("better"),
+        F.bool_or(F.col("candidate") == F.col("best.candidate")).alias("among_them"),
+    )
+
+
+@query(
+    "frozen_sensitivity",
+    check(
+        f"""
+SELECT candidate, split, rows, positives, CAST(0 AS BIGINT) AS outside, true AS compared
+FROM ({SIZES}) CROSS JOIN (VALUES ('logistic_regression'), ('gradient_boosting')) AS m(candidate)"""
+    ),
+)
+def _(spark, sf):
+    """Per refitted model and split: rows and positives scored, scores outside 0 to 1, and whether the
+    change in PR-AUC is known and is a difference of two such areas."""
+    frozen = inputs.frozen_scores(spark, sf)
+    changed = plan.frozen_sensitivity(frozen, metrics.evaluate(inputs.model_scores(spark, sf)))
+    delta = F.col("pr_auc_delta")
+    sound = changed.select("candidate", F.coalesce((F.abs(delta) <= 1) & (delta == F.col("pr_auc") - F.col("base_pr_auc")), F.lit(False)).alias("compared"))
+    return scoring.score_check(frozen).join(F.broadcast(sound), "candidate")  # one row per model
+
+
+@query(
+    "experiment_log",
+    check(
+        f"""
+SELECT 'check' AS run_id, c.candidate, c.kind, a.rows AS train_rows, b.rows AS test_rows,
+       round(a.late_rows / CAST(a.rows AS DOUBLE), 4) AS train_late_rate, round(b.late_rows / CAST(b.rows AS DOUBLE), 4) AS test_late_rate,
+       (SELECT (epoch_us(max(scheduled_arrival)) - epoch_us(min(scheduled_arrival))) / 1e6 / 86400 < 7 FROM ft) AS preliminary,
+       CASE WHEN c.kind = 'baseline' THEN r.pr_auc END AS pr_auc, CASE WHEN c.kind = 'baseline' THEN r.roc_auc END AS roc_auc, true AS measured
+FROM (SELECT DISTINCT candidate, 'baseline' AS kind FROM rk UNION ALL VALUES ('logistic_regression', 'model'), ('gradient_boosting', 'model')) c
+LEFT JOIN (SELECT * FROM rk WHERE split = 'test') r USING (candidate)
+CROSS JOIN (SELECT * FROM ({SUMMARY}) WHERE split = 'train') a CROSS JOIN (SELECT * FROM ({SUMMARY}) WHERE split = 'test') b"""
+    ),
+)
+def _(spark, sf):
+    """The log's rows: facts of the splits, metrics of the baselines, and that the models have theirs in range."""
     rows = inputs.split_rows(spark, sf)
     scored = scoring.baseline_scores(rows).unionByName(inputs.model_scores(spark, sf))
     log = plan.experiment_log(metrics.evaluate(scored), rows, "check")
-    return log.select("run_id", "candidate", "kind", F.to_json("params").alias("params"), F.to_json("metrics").alias("metrics"))
+    params, found = F.col("params"), F.col("metrics")
+    of_baseline = lambda name: F.when(F.col("kind") == "baseline", F.round(found[name], 9)).alias(name)
+    return log.select(
+        "run_id", "candidate", "kind",
+        *[params[f"{s}_rows"].cast("long").alias(f"{s}_rows") for s in ("train", "test")],
+        *[params[f"{s}_late_rate"].cast("double").alias(f"{s}_late_rate") for s in ("train", "test")],
+        "preliminary", of_baseline("pr_auc"), of_baseline("roc_auc"),
+        F.coalesce(found["pr_auc"].between(0, 1) & found["roc_auc"].between(0, 1), F.lit(False)).alias("measured"),
+    )
+
+
+@query("model_results")
+def _(spark, sf):
+    """Metrics of every candidate, the refitted models with their change in PR-AUC."""
+    rows = inputs.split_rows(spark, sf)
+    base = metrics.evaluate(scoring.baseline_scores(rows).unionByName(inputs.model_scores(spark, sf)))
+    frozen = plan.frozen_sensitivity(inputs.frozen_scores(spark, sf), base).drop("base_pr_auc")
+    named = frozen.withColumn("candidate", F.concat("candidate", F.lit("_frozen_route_hour")))
+    return base.withColumn("pr_auc_delta", F.lit(None).cast("double")).unionByName(named)
 
 
 @query(

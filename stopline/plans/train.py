@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ class TrainingRun:
     sensitivity: DataFrame
     log: DataFrame
     best: str
-    model: PipelineModel
+    model: scoring.Model
 
 
 def prepare(features: DataFrame, labels: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
@@ -29,10 +28,17 @@ def prepare(features: DataFrame, labels: DataFrame, fraction: float = TRAIN_FRAC
     return splits.temporal_split(feat.training_set(features, labels), fraction)
 
 
-def frozen_sensitivity(split_rows: DataFrame, results: DataFrame, rules: scoring.ModelRules, names=scoring.MODELS) -> DataFrame:
-    """Metrics with the route-hour rate frozen on train, and the change in PR-AUC."""
-    scored, _ = scoring.model_scores(splits.with_frozen_rate(split_rows), rules, names)
-    frozen = metrics.evaluate(scored)
+def frozen_scores(split_rows: DataFrame, rules: scoring.ModelRules, facts: scoring.FeatureFacts, names=scoring.MODELS) -> DataFrame:
+    """Scores of models refitted with the route-hour rate frozen on train.
+
+    Only that feature is counted and binned anew; the others keep their medians and bins."""
+    frozen = tb.stage(splits.with_frozen_rate(split_rows), "frozen")
+    return scoring.model_scores(frozen, rules, names, facts.without("route_hour_historical_late_rate"))[0]
+
+
+def frozen_sensitivity(frozen_scored: DataFrame, results: DataFrame) -> DataFrame:
+    """Metrics with the frozen rate, and the change in PR-AUC."""
+    frozen = metrics.evaluate(frozen_scored)
     base = results.select("candidate", F.col("pr_auc").alias("base_pr_auc"))
     # One row per model on either side.
     return frozen.join(F.broadcast(base), "candidate").withColumn("pr_auc_delta", F.col("pr_auc") - F.col("base_pr_auc"))
@@ -97,11 +103,12 @@ def train(
     rows = tb.stage(prepare(features, labels), "training")
     scored, fitted = scoring.model_scores(rows, rules)
     results = tb.stage(metrics.evaluate(tb.stage(scoring.baseline_scores(rows).unionByName(scored), "scores")), "results")
-    sensitivity = tb.stage(frozen_sensitivity(rows, results, rules), "sensitivity")
+    frozen = tb.stage(frozen_scores(rows, rules, fitted.facts), "frozen-scores")
+    sensitivity = tb.stage(frozen_sensitivity(frozen, results), "sensitivity")
     best = metrics.best_candidate(results.filter(F.col("candidate").isin(scoring.MODELS))).first()["candidate"]
     model_path = f"{models_path}/{run_id}-{best}"
-    fitted[best].write().overwrite().save(model_path)
+    scoring.save_model(fitted.models[best], rows.sparkSession, model_path)
     frozen = sensitivity.withColumn("candidate", F.concat("candidate", F.lit("_frozen_route_hour"))).select(*results.columns)
     log = tb.stage(experiment_log(results.unionByName(frozen), rows, run_id, model_path), "log")
     tb.append(log, log_path)
-    return TrainingRun(results, sensitivity, log, best, fitted[best])
+    return TrainingRun(results, sensitivity, log, best, fitted.models[best])

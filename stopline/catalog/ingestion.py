@@ -207,7 +207,7 @@ def _(spark, sf):
     tb.insert_absent(rows.filter(F.col("polled_at") < CUT_B), path, STOP_EVENT_KEY, tb.MONTH)
     again = rows.filter(F.col("polled_at") >= CUT_A).withColumn("status", F.lit("second"))
     tb.insert_absent(again, path, STOP_EVENT_KEY, tb.MONTH)
-    return spark.read.parquet(path).drop(tb.MONTH)
+    return tb.read(spark, path).drop(tb.MONTH)
 
 
 @query(
@@ -222,7 +222,7 @@ def _(spark, sf):
     runs = d.poll_runs(spark, sf)
     tb.insert_absent(runs.filter(F.col("polled_at") < CUT_B), path, ["polled_at"])
     tb.insert_absent(runs.filter(F.col("polled_at") >= CUT_A).withColumn("skipped", F.lit(1)), path, ["polled_at"])
-    return spark.read.parquet(path)
+    return tb.read(spark, path)
 
 
 @query(
@@ -232,7 +232,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = work_path(spark, "monthly")
     tb.with_month(d.stop_events(spark, sf)).write.partitionBy(tb.MONTH).parquet(path)
-    return spark.read.parquet(path).groupBy(tb.MONTH).agg(F.count(F.lit(1)).alias("n"))
+    return tb.read(spark, path).groupBy(tb.MONTH).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("verified_rewrite", check("SELECT count(*) AS rows, count(DISTINCT (trip_id, stop_id, polled_at)) AS keys FROM se"))
@@ -240,7 +240,7 @@ def _(spark, sf):
     path = work_path(spark, "rewrite")
     d.stop_events(spark, sf).write.parquet(path)
     tb.verified_rewrite(spark, path, F.lit(CUT_B).cast("timestamp"))
-    return spark.read.parquet(path).agg(
+    return tb.read(spark, path).agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct(F.struct(*STOP_EVENT_KEY)).alias("keys")
     )
 
@@ -260,7 +260,7 @@ def _(spark, sf):
     tb.upsert(rows.filter(F.col("service_date_norm") < "2026-11-15"), path, LABEL_KEY, "service_date_norm")
     again = rows.filter(F.col("service_date_norm") >= LATE_CUT).withColumn("n_snapshots", F.lit(6))
     tb.upsert(again, path, LABEL_KEY, "service_date_norm")
-    return spark.read.parquet(path).select(*LABEL_COLS.split(", "))
+    return tb.read(spark, path).select(*LABEL_COLS.split(", "))
 
 
 @query(
@@ -273,7 +273,7 @@ def _(spark, sf):
     day = lambda t: F.lit(t).cast("timestamp")
     tb.upsert(feat.build(training, None, day("2026-11-15")), path, LABEL_KEY, "service_date_norm")
     tb.upsert(feat.build(training, day(LATE_CUT), None), path, LABEL_KEY, "service_date_norm")
-    return spark.read.parquet(path).select(
+    return tb.read(spark, path).select(
         *LABEL_KEY,
         "route_hour_historical_late_rate",
         "headway_seconds",
@@ -301,7 +301,7 @@ def _(spark, sf):
     ):
         counted = summary.withColumn("groups_considered", F.col("rows_written"))
         tb.append(status.transform_record(name, counted, CUT_A, None, CUT_B, CUT_B, None), path)
-    return spark.read.parquet(path).select(
+    return tb.read(spark, path).select(
         "transform_name", "groups_considered", "rows_written", "passed", F.size("gate_results").alias("gates")
     )
 
@@ -325,7 +325,7 @@ def _(spark, sf):
     early = F.lit(CUT_B).cast("timestamp")
     publish.publish(events, runs.filter(F.col("polled_at") < CUT_B), labels, early, snapshots, gaps)
     publish.publish(events, runs, labels, tc.plus_seconds(as_of, 90), snapshots, gaps)
-    return spark.read.parquet(gaps).select("started_at", "ended_at", "duration_seconds")
+    return tb.read(spark, gaps).select("started_at", "ended_at", "duration_seconds")
 
 
 @query("snapshot_retention", check("SELECT polled_at FROM pr ORDER BY polled_at DESC LIMIT 2000"))
@@ -347,12 +347,12 @@ def _ingested(spark, sf):
 
 @query("st_ingest", check(f"SELECT {SNAPSHOT} FROM fs"))
 def _(spark, sf):
-    return spark.read.parquet(_ingested(spark, sf)[0]).drop(tb.MONTH)
+    return tb.read(spark, _ingested(spark, sf)[0]).drop(tb.MONTH)
 
 
 @query("st_ledger", check(f"SELECT {CYCLE} FROM cs"))
 def _(spark, sf):
-    return spark.read.parquet(_ingested(spark, sf)[1]).select(*CYCLE.split(", "))
+    return tb.read(spark, _ingested(spark, sf)[1]).select(*CYCLE.split(", "))
 
 
 def _parts():
@@ -367,7 +367,7 @@ def _parts():
 def _(spark, sf):
     path = work_path(spark, "dedup")
     jobs.work_off(d.raw_sightings(spark, sf), _parts(), jobs.DedupJob(path).handle)
-    return spark.read.parquet(path).select(*STOP_EVENT_KEY)
+    return tb.read(spark, path).select(*STOP_EVENT_KEY)
 
 
 def _settled(spark, sf, parts):
@@ -375,7 +375,7 @@ def _settled(spark, sf, parts):
     d.poll_runs(spark, sf).write.parquet(runs)
     job = jobs.SettleJob(runs, events, labels, state, inputs.RULES)
     jobs.work_off(d.stop_events(spark, sf), parts, job.handle)
-    return spark.read.parquet(labels).select(*LABEL_COLS.split(", "))
+    return tb.read(spark, labels).select(*LABEL_COLS.split(", "))
 
 
 @query("st_settle", check(f"SELECT {LABEL_COLS} FROM el"))

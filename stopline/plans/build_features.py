@@ -31,7 +31,7 @@ def build_features(
     training = lab.training_labels(labels)
     rows = feat.build(training, low, high).withColumn("built_at", F.lit(started).cast("timestamp"))
     written = tb.upsert(rows, features_path, LABEL_KEY, "service_date_norm")
-    stored = feat.written_in_window(spark.read.parquet(features_path), training, low, high)
+    stored = feat.written_in_window(tb.read(spark, features_path), training, low, high)
     summary = gates.side_by_side(
         feat.candidates(training, low, high).withColumnRenamed("candidate_rows", "groups_considered"),
         written.agg(F.count(F.lit(1)).alias("rows_written")),
@@ -41,4 +41,4 @@ def build_features(
         status.transform_record("build_features", summary, started, since, until or started, started, git_sha), "record"
     )
     tb.append(record, records_path)
-    return spark.read.parquet(records_path).filter(F.col("started_at") == F.lit(started).cast("timestamp"))
+    return tb.read(spark, records_path).filter(F.col("started_at") == F.lit(started).cast("timestamp"))

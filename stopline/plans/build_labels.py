@@ -65,4 +65,4 @@ def build_labels(
         status.transform_record("build_labels", summary, started, since, until or started, F.col("as_of"), git_sha), "record"
     )
     tb.append(record, records_path)
-    return spark.read.parquet(records_path).filter(F.col("started_at") == F.lit(started).cast("timestamp"))
+    return tb.read(spark, records_path).filter(F.col("started_at") == F.lit(started).cast("timestamp"))

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopline.config import MAX_PAGES_PER_BATCH, STOP_EVENT_KEY
+from stopline.functions import timecols as tc
 from stopline.operators import contract as ct
 from stopline.operators import predictions as pr
 from stopline.sources import pages as pg
 from stopline.sources import tables as tb
+from stopline.sources.versioned import Table
 
 
 @dataclass
@@ -55,33 +57,24 @@ def ingest(
 ) -> int:
     """Validate, quarantine, map and store pages; every cycle leaves a ledger row.
 
-    The flat resources and the new snapshots are staged, so JSON is parsed once and the ledger
-    counts exactly the rows that were appended. Safe to repeat: nothing is stored twice. With
-    ``refresh_ledger`` the cycles' rows are replaced and count all their stored snapshots, for
-    callers that see a cycle in several pieces."""
+    The flat resources are staged, so JSON is parsed once. Safe to repeat after a crash at any step:
+    snapshots are stored once, and a cycle's ledger row counts all its stored snapshots, also those
+    that a broken run had stored before. A cycle that has a ledger row keeps it; with
+    ``refresh_ledger`` the row is replaced, for callers that see a cycle in several pieces. The ledger
+    is a log: only this run's rows are written."""
     spark = pages.sparkSession
-    reading = read(tb.stage(pr.read_resources(pages, contract), "resources"))
-    batch = tb.stage(tb.with_month(first_sightings(reading.snapshots)), "snapshots")
-    existing = tb.read_or_none(spark, events_path)
-    if existing is not None:
-        months = [r[0] for r in batch.select(tb.MONTH).distinct().collect()]
-        existing = existing.filter(F.col(tb.MONTH).isin(months))
-    fresh = tb.stage(tb.absent_rows(batch, existing, STOP_EVENT_KEY), "fresh")
-    new_or_stored = fresh
-    if refresh_ledger and existing is not None:
-        cycles = reading.page_rows.select("polled_at").distinct()
-        new_or_stored = fresh.unionByName(existing.join(cycles, "polled_at", "left_semi").select(*fresh.columns))
-    inserted = new_or_stored.groupBy("polled_at").agg(F.count(F.lit(1)).alias("inserted"))
-    summary = pr.cycle_summary(
-        reading.page_rows, reading.found, reading.failed, reading.mapped, inserted, batches_total, max_pages
-    )
-    # Landed pages carry one time per cycle, so a rerun writes the same ledger row.
-    ledger_rows = tb.stage(
-        summary.withColumns({"started_at": F.col("polled_at"), "finished_at": F.col("polled_at")}), "ledger"
-    )
-    fresh.write.mode("append").partitionBy(tb.MONTH).parquet(events_path)
-    if refresh_ledger:
-        tb.upsert(ledger_rows, runs_path, ["polled_at"])
-    else:
-        tb.insert_absent(ledger_rows, runs_path, ["polled_at"])
-    return fresh.count()
+    with tb.scratch(spark):
+        reading = read(tb.stage(pr.read_resources(pages, contract), "resources"))
+        mapped = tb.stage(reading.mapped, "mapped")
+        batch = tb.with_month(first_sightings(pr.prefilter(mapped)))
+        fresh = Table(spark, events_path, tb.MONTH).insert_absent(batch, STOP_EVENT_KEY)
+        cycles = reading.page_rows.select("polled_at").distinct().withColumn(tb.MONTH, tc.month_of(F.col("polled_at")))
+        stored = tb.read(spark, events_path).join(F.broadcast(cycles), ["polled_at", tb.MONTH], "left_semi")
+        inserted = stored.groupBy("polled_at").agg(F.count(F.lit(1)).alias("inserted"))
+        summary = pr.cycle_summary(
+            reading.page_rows, reading.found, reading.failed, mapped, inserted, batches_total, max_pages
+        )
+        # Landed pages carry one time per cycle, so a rerun writes the same ledger row.
+        ledger_rows = summary.withColumns({"started_at": F.col("polled_at"), "finished_at": F.col("polled_at")})
+        tb.log_rows(ledger_rows, runs_path, ["polled_at"], "polled_at", replace=refresh_ledger)
+        return fresh

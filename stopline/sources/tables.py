@@ -1,17 +1,21 @@
-"""Idempotent writes to Parquet tables: insert-if-absent, upsert, append, verified rewrite.
+"""Idempotent writes to stored tables: insert-if-absent, upsert, append, verified rewrite.
 
-Single writer per table. A new batch is written to the shared folder first, so retries and lost
-executors never recompute it against a half-written target.
+Single writer per table. Stored tables are versioned (:mod:`stopline.sources.versioned`): a write adds
+files and then moves one pointer, so a crash at any step leaves the old or the new version, whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopline.functions import timecols as tc
 from stopline.session import work_path
+from stopline.sources.versioned import Files, Table, Version
 
 MONTH = "polled_month"
 
@@ -26,9 +30,31 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of the table at ``path``, or the plain Parquet files there; None while empty."""
+    found = Table(spark, path).read()
+    return read_or_none(spark, path) if found is None else found
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends: for jobs whose results are stored by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            Files(spark, path).remove(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: cuts lineage, survives lost executors."""
     path = work_path(df.sparkSession, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,11 +64,6 @@ def with_month(df: DataFrame, column: str = "polled_at") -> DataFrame:
     return df.withColumn(MONTH, tc.month_of(F.col(column)))
 
 
-def _partition_values(df: DataFrame, partition: str) -> list:
-    """The partition values a batch touches: one per month or service day, never per row."""
-    return [r[0] for r in df.select(partition).distinct().collect()]
-
-
 def first_per_key(rows: DataFrame, key: list[str], order: list[Column] | None = None) -> DataFrame:
     """One row per key: the first by ``order`` (by the whole row where none is given)."""
     others = [c for c in rows.columns if c not in key]
@@ -61,46 +82,32 @@ def insert_absent(
     key: list[str],
     partition: str | None = None,
     order: list[Column] | None = None,
+    clock: str | None = None,
 ) -> int:
     """Append rows whose key is not in the table yet; returns how many were appended.
 
-    Within the batch the first row of a key wins, against the table the stored row wins. Only the
-    partitions the batch touches are read."""
-    spark = rows.sparkSession
+    Within the batch the first row of a key wins, against the table the stored row wins. Stored keys are
+    looked for in the partitions the batch touches. Where a key may lie in another partition,
+    ``clock`` names a timestamp of the key: then every partition counts whose time range and bit filter
+    of keys do not rule it out."""
     names = [c for c in rows.columns if c != "_order"]
-    batch = stage(first_per_key(rows, key, order).select(*names), "insert")
-    existing = read_or_none(spark, path)
-    if existing is not None and partition:
-        existing = existing.filter(F.col(partition).isin(_partition_values(batch, partition)))
-    fresh = absent_rows(batch, existing, key)
-    # Counted before the write, from the keys alone; an observed write would tie later models to the session.
-    n = fresh.count()
-    writer = fresh.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return n
+    batch = first_per_key(rows, key, order).select(*names)
+    return Table(rows.sparkSession, path, partition, clock).insert_absent(batch, key, anywhere=clock is not None)
 
 
 def upsert(rows: DataFrame, path: str, key: list[str], partition: str | None = None) -> DataFrame:
-    """Insert rows, replacing stored rows of the same key; returns the staged batch.
-
-    Touched partitions are rebuilt as new rows plus untouched old rows, staged, and swapped in by
-    dynamic partition overwrite; other partitions are not read or written. A table without a
-    partition column is rewritten whole, which is meant for small ledgers only."""
-    spark = rows.sparkSession
-    batch = stage(rows, "upsert")
-    existing = read_or_none(spark, path)
-    merged = batch
-    if existing is not None:
-        if partition:
-            existing = existing.filter(F.col(partition).isin(_partition_values(batch, partition)))
-        merged = stage(absent_rows(existing.select(*rows.columns), batch, key).unionByName(batch), "merge")
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return batch
+    """Insert rows, replacing stored rows of the same key; returns the new rows as stored."""
+    return Table(rows.sparkSession, path, partition).upsert(rows, key)
 
 
 def append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    Table(rows.sparkSession, path).append(rows)
+
+
+def log_rows(rows: DataFrame, path: str, key: list[str], clock: str, replace: bool) -> None:
+    """Append to a log of rows merged on reading, by month of ``clock``; nothing stored is read."""
+    monthly = with_month(rows, clock)
+    Table(rows.sparkSession, path, MONTH).put(monthly, key, replace)
 
 
 def keep_newest(table: DataFrame, order: str, keep: int) -> DataFrame:
@@ -114,32 +121,25 @@ def fingerprint(table: DataFrame, columns: list[str]) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).alias("checksum"))
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(hadoop.Path(source), hadoop.Path(target)):
-        raise RuntimeError(f"could not rename {source} to {target}")
-
-
 def verified_rewrite(spark: SparkSession, path: str, watermark: Column) -> DataFrame:
-    """Rewrite a snapshot table into the monthly layout and swap it in only if it is complete.
+    """Rewrite a snapshot table into the monthly layout and publish it only if it is complete.
 
     Rows up to the watermark are copied first, rows after it (arrived meanwhile) are caught up,
-    then count and checksum must agree with the source. On a mismatch nothing is published. The
-    old table is kept beside the new one. Returns the published fingerprint."""
-    source = spark.read.parquet(path)
+    then count and checksum must agree with the source. On a mismatch nothing is published. Every
+    row is written once, in files sized by measured bytes; the pointer turns readers over, and the
+    old files stay where they are. Returns the published fingerprint."""
+    source = read(spark, path)
     columns = [c for c in source.columns if c != MONTH]
-    target = f"{path.rstrip('/')}.rewrite"
-    early = F.col("polled_at") <= watermark
-    for part, mode in ((source.filter(early), "overwrite"), (source.filter(~F.coalesce(early, F.lit(False))), "append")):
-        monthly = with_month(part.select(*columns))
-        monthly.repartition(MONTH, F.pmod(F.xxhash64("trip_id", "stop_id"), F.lit(16))).write.mode(mode).partitionBy(
-            MONTH
-        ).parquet(target)
+    table = Table(spark, path, MONTH, "polled_at")
+    before, parts = table.current(), []
+    early = F.coalesce(F.col("polled_at") <= watermark, F.lit(False))
+    schema = with_month(source.select(*columns)).schema
+    for part in (source.filter(early), source.filter(~early)):
+        parts += table.write(with_month(part.select(*columns)))
     wanted = fingerprint(source, columns).first()
-    got = fingerprint(spark.read.parquet(target), columns).first()
+    copy = table.of_parts(Version(0, schema.json(), MONTH), parts)
+    got = fingerprint(copy, columns).first()
     if wanted != got:
         raise RuntimeError(f"rewrite of {path} not published: source {wanted}, copy {got}")
-    _rename(spark, path, f"{path.rstrip('/')}.before")
-    _rename(spark, target, path)
-    return fingerprint(spark.read.parquet(path), columns)
+    table.publish(before, parts, schema)
+    return fingerprint(read(spark, path), columns)

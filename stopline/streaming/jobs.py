@@ -125,11 +125,11 @@ class SettleJob:
         keys = keys.unionByName(pending) if pending is not None else keys
         keys = tb.stage(keys.distinct(), "touched")
         days = [r[0] for r in keys.select(DAY).distinct().collect()]
-        history = spark.read.parquet(self.events_path).filter(F.col(DAY).isin(days))
+        history = tb.read(spark, self.events_path).filter(F.col(DAY).isin(days))
         groups = tb.stage(lab.trip_stop_groups(history.join(keys, GROUP_KEY, "left_semi")).drop("touched"), "groups")
         moment = F.lit(as_of)
         # Read anew each time: a DataFrame bound at the start would never see later ledger rows.
-        cycles = spark.read.parquet(self.runs_path).filter(F.col("polled_at") <= moment)
+        cycles = tb.read(spark, self.runs_path).filter(F.col("polled_at") <= moment)
         gaps = ledger.gap_intervals(cycles, self.rules.gap_threshold_seconds)
         times = groups.select(F.col("observed_span_end").alias("polled_at"))
         tb.upsert(lab.close_labels(groups, times, gaps, moment, self.rules), self.labels_path, LABEL_KEY, DAY)

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from stopline.sources import tables as tb
 from stopline.operators import features as feat
 from stopline.operators import labels as lab
 from stopline.operators import verify
@@ -79,14 +80,14 @@ def test_rebuild_over_an_overlapping_window_and_stale_rows(spark, labels):
     path, log = work_path(spark, "features"), work_path(spark, "log")
     every = [row("a", 0, 300), row("b", 60), row("c", 120)]
     bf.build_features(labels(*every), path, log, until=plus(T, 100))
-    before = by_trip(spark.read.parquet(path).drop("built_at"))
+    before = by_trip(tb.read(spark, path).drop("built_at"))
     record = bf.build_features(labels(*every), path, log, since=plus(T, 30), until=plus(T, 300)).first()
-    after = by_trip(spark.read.parquet(path).drop("built_at"))
+    after = by_trip(tb.read(spark, path).drop("built_at"))
     assert set(before) == {"a", "b"} and set(after) == {"a", "b", "c"}
     assert before["b"] == after["b"] and record["rows_written"] == 2 and record["groups_considered"] == 2
     # A label excluded later keeps its stored features and leaves only through the join.
     changed = labels(row("a", 0, 300, closed_reason="gap_abutted"), *every[1:])
-    stored = spark.read.parquet(path)
+    stored = tb.read(spark, path)
     assert stored.count() == 3 and {r["trip_id"] for r in feat.training_set(stored, changed).collect()} == {"b", "c"}
 
 

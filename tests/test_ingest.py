@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stopline.sources import tables as tb
 from stopline.functions import timecols as tc
 from stopline.operators import predictions as pr
 from stopline.plans import ingest
@@ -98,7 +99,7 @@ def test_rows_without_a_required_field_are_counted_not_stored(spark):
 def summary(spark, *rows):
     events, runs = work_path(spark, "e"), work_path(spark, "r")
     ingest.ingest(pages_of(spark, *rows), events, runs, 3)
-    return spark.read.parquet(events), spark.read.parquet(runs).collect()
+    return tb.read(spark, events), tb.read(spark, runs).collect()
 
 
 def test_ledger_row_of_a_mixed_cycle(spark):
@@ -142,8 +143,8 @@ def test_ingest_twice_stores_nothing_twice(spark):
     assert ingest.ingest(pages_of(spark, (0, 1, body)), events, runs, 3) == 6
     # The same cycle again, and a later one that repeats its trips.
     assert ingest.ingest(pages_of(spark, (0, 1, body), (0, 1, body, LATER)), events, runs, 3) == 6
-    assert spark.read.parquet(events).count() == 12
-    assert sorted(r["inserted"] for r in spark.read.parquet(runs).collect()) == [6, 6]
+    assert tb.read(spark, events).count() == 12
+    assert sorted(r["inserted"] for r in tb.read(spark, runs).collect()) == [6, 6]
 
 
 def test_page_files_and_lines(spark, tmp_path):

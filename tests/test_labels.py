@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stopline.sources import tables as tb
 from stopline.config import LabelRules
 from stopline.operators import gates
 from stopline.operators import labels as lab
@@ -98,14 +99,14 @@ def test_build_is_idempotent_over_overlapping_windows_and_records_each_run(spark
     path, log = work_path(spark, "labels"), work_path(spark, "log")
     naive = lambda s: plus(T, s)
     bl.build_labels(df, cycles, path, log, until=naive(150))
-    first = {r["trip_id"]: r.asDict() for r in spark.read.parquet(path).collect()}
+    first = {r["trip_id"]: r.asDict() for r in tb.read(spark, path).collect()}
     record = bl.build_labels(df, cycles, path, log, since=naive(100), until=naive(4000), git_sha="abc").first()
-    second = {r["trip_id"]: r.asDict() for r in spark.read.parquet(path).collect()}
+    second = {r["trip_id"]: r.asDict() for r in tb.read(spark, path).collect()}
     assert set(first) == {"t1"} and set(second) == {"t1", "t2"}
     assert {k: v for k, v in first["t1"].items() if k != "built_at"} == {k: v for k, v in second["t1"].items() if k != "built_at"}
     assert second["t1"]["built_at"] > first["t1"]["built_at"]
     assert (record["groups_considered"], record["rows_written"], record["passed"], record["git_sha"]) == (2, 2, True, "abc")
-    assert spark.read.parquet(log).count() == 2
+    assert tb.read(spark, log).count() == 2
 
 
 def test_failed_gates_are_recorded(spark, events, runs):

@@ -16,9 +16,9 @@ def test_a_cycle_in_two_pieces_ends_as_one_ledger_row(spark):
     for rows in ([row(0, 1, "a")], [row(1, 2, "b"), row(1, 2, "b")][:1]):
         schema = jobs.land_pages(spark.createDataFrame(rows, pg.PAGE_SCHEMA), landing)
         jobs.run_available(jobs.file_stream(spark, landing, schema, 10), job.handle, check)
-    ledger = spark.read.parquet(runs).collect()
+    ledger = tb.read(spark, runs).collect()
     assert [(r["batches_ok"], r["rows"], r["inserted"]) for r in ledger] == [(2, 2, 2)]
-    assert spark.read.parquet(events).count() == 2
+    assert tb.read(spark, events).count() == 2
 
 
 def test_a_replayed_batch_changes_nothing(spark, events):
@@ -26,7 +26,7 @@ def test_a_replayed_batch_changes_nothing(spark, events):
     job, batch = jobs.DedupJob(path), events(dict(polled_at=T), dict(polled_at=T), dict(trip_id="t2", polled_at=T))
     job.handle(batch, 0)
     job.handle(batch, 0)
-    assert spark.read.parquet(path).count() == 2
+    assert tb.read(spark, path).count() == 2
 
 
 def test_drop_repeats_within_the_watermark(spark, events):
@@ -55,7 +55,7 @@ def test_open_groups_are_carried_until_they_settle_and_reopened_later(spark, run
     job, path = settle(spark, runs)
 
     def rows():
-        table = tb.read_or_none(spark, path)  # nothing is stored before the first group closes
+        table = tb.read(spark, path)  # nothing is stored before the first group closes
         return {} if table is None else {r["trip_id"]: r for r in table.collect()}
 
     job.handle(events(sighting(0), sighting(66)), 0)
@@ -77,4 +77,4 @@ def test_replaying_a_settle_batch_gives_the_same_labels(spark, runs, events):
     job.handle(events(sighting(0)), 0)
     for _ in range(2):
         job.handle(events(sighting(66 * 9, "t2")), 1)
-    assert [r["trip_id"] for r in spark.read.parquet(path).collect()] == ["t1"]
+    assert [r["trip_id"] for r in tb.read(spark, path).collect()] == ["t1"]

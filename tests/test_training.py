@@ -151,7 +151,7 @@ def test_training_run(spark, labels):
     names = {r["candidate"] for r in run.results.collect()}
     assert names == {*scoring.BASELINES, *scoring.MODELS} and run.best in scoring.MODELS
     assert {r["kind"] for r in run.log.collect()} == {"baseline", "model", "sensitivity"}
-    assert tb.read_or_none(spark, log_path).count() == 7
+    assert tb.read(spark, log_path).count() == 7
     base = {r["candidate"]: r["pr_auc"] for r in run.results.collect()}
     for r in run.sensitivity.collect():
         assert math.isclose(r["pr_auc_delta"], r["pr_auc"] - base[r["candidate"]])

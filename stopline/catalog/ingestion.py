@@ -20,6 +20,7 @@ from stopline.session import work_path
 from stopline.sources import derived as d
 from stopline.sources import pages as pg
 from stopline.sources import tables as tb
+from stopline.sources.versioned import Table
 from stopline.streaming import jobs
 
 PAGE_COLS = PAGE.split(", ")
@@ -231,7 +232,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = work_path(spark, "monthly")
-    tb.with_month(d.stop_events(spark, sf)).write.partitionBy(tb.MONTH).parquet(path)
+    Table(spark, path, tb.MONTH).append(tb.with_month(d.stop_events(spark, sf)))
     return tb.read(spark, path).groupBy(tb.MONTH).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -311,10 +312,32 @@ SELECT strftime(a, '%Y-%m-%dT%H:%M:%S.%fZ') AS started_at, arg_max(strftime(b, '
        arg_max(CAST(round_even({seconds('a', 'b')}, 0) AS BIGINT), polled_at) AS duration_seconds
 FROM (SELECT *, CASE WHEN silent THEN prev ELSE started_at END AS a, CASE WHEN silent THEN polled_at ELSE finished_at END AS b FROM silences)
 WHERE silent OR error IS NOT NULL GROUP BY 1"""
+NOTHING = "CAST(NULL AS BIGINT)"
+COUNTED = "rows_total", "cycles", "distinct_routes", "distinct_trips", "distinct_stops", "labels_total", "labels_gap_abutted", "labels_no_arrival"
 
 
-@query("status_upsert", check(PUBLIC))
+def _published(moment, cycles):
+    """The snapshot row published at a moment, from the ledger rows known then."""
+    return f"""
+SELECT 'snapshot' AS kind, strftime(date_trunc('minute', CAST({moment} AS TIMESTAMP)), '%Y-%m-%dT%H:%M:%S.%fZ') AS at, CAST(NULL AS VARCHAR) AS ended_at, {NOTHING} AS duration_seconds,
+       (SELECT count(*) FROM se) AS rows_total, (SELECT count(*) FROM pr WHERE {cycles}) AS cycles,
+       (SELECT count(DISTINCT route_id) FROM se) AS distinct_routes, (SELECT count(DISTINCT trip_id) FROM se) AS distinct_trips,
+       (SELECT count(DISTINCT stop_id) FROM se) AS distinct_stops, (SELECT count(*) FROM el) AS labels_total,
+       (SELECT count(*) FROM el WHERE closed_reason = 'gap_abutted') AS labels_gap_abutted,
+       (SELECT count(*) FROM el WHERE closed_reason = 'no_arrival_signal') AS labels_no_arrival"""
+
+
+@query(
+    "status_upsert",
+    check(
+        f"""
+SELECT 'gap' AS kind, started_at AS at, ended_at, duration_seconds, {", ".join(f"{NOTHING} AS {c}" for c in COUNTED)} FROM ({PUBLIC})
+UNION ALL {_published(repr(CUT_B), f"polled_at < TIMESTAMP '{CUT_B}'")}
+UNION ALL {_published("((SELECT as_of FROM latest) + INTERVAL 90 SECOND)", "true")}"""
+    ),
+)
 def _(spark, sf):
+    """Both published tables: the gap ledger and the status snapshots."""
     from stopline.functions import timecols as tc
     from stopline.plans import publish
 
@@ -325,7 +348,15 @@ def _(spark, sf):
     early = F.lit(CUT_B).cast("timestamp")
     publish.publish(events, runs.filter(F.col("polled_at") < CUT_B), labels, early, snapshots, gaps)
     publish.publish(events, runs, labels, tc.plus_seconds(as_of, 90), snapshots, gaps)
-    return tb.read(spark, gaps).select("started_at", "ended_at", "duration_seconds")
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    silent = tb.read(spark, gaps).select(
+        F.lit("gap").alias("kind"), F.col("started_at").alias("at"), "ended_at", "duration_seconds", *[none(c, "long") for c in COUNTED]
+    )
+    counted = [F.col(c).cast("long").alias(c) for c in COUNTED]
+    shown = tb.read(spark, snapshots).select(
+        F.lit("snapshot").alias("kind"), F.col("published_at").alias("at"), none("ended_at", "string"), none("duration_seconds", "long"), *counted
+    )
+    return silent.unionByName(shown)
 
 
 @query("snapshot_retention", check("SELECT polled_at FROM pr ORDER BY polled_at DESC LIMIT 2000"))
@@ -372,9 +403,8 @@ def _(spark, sf):
 
 def _settled(spark, sf, parts):
     events, labels, state, runs = (work_path(spark, n) for n in ("events", "labels", "state", "runs"))
-    d.poll_runs(spark, sf).write.parquet(runs)
     job = jobs.SettleJob(runs, events, labels, state, inputs.RULES)
-    jobs.work_off(d.stop_events(spark, sf), parts, job.handle)
+    jobs.work_off_settling(d.stop_events(spark, sf), d.poll_runs(spark, sf), parts, job)
     return tb.read(spark, labels).select(*LABEL_COLS.split(", "))
 
 
@@ -385,5 +415,5 @@ def _(spark, sf):
 
 @query("st_late_data", check(f"SELECT {LABEL_COLS} FROM el"))
 def _(spark, sf):
-    """The newest snapshots land first; older ones arrive late and reopen their groups."""
+    """The newest snapshots and cycles land first; older ones arrive late and reopen their groups."""
     return _settled(spark, sf, _parts()[::-1])

@@ -190,7 +190,7 @@ def _(spark, sf):
 def _(spark, sf):
     events = d.stop_events(spark, sf)
     gaps = ledger.gap_intervals(d.poll_runs(spark, sf), THRESHOLD)
-    marked = lab.mark_gap_abutted(lab.trip_stop_groups(events), events, gaps, RULES)
+    marked = lab.mark_gap_abutted(lab.trip_stop_groups(events), gaps, RULES)
     return marked.filter("gap_abutted").select("trip_id", "stop_id", "service_date_norm")
 
 

@@ -62,46 +62,37 @@ def _(spark, sf):
     )
 
 
-MESSAGES = [
-    "Connection refused by host",
-    "HTTP 429 Too Many Requests",
-    "HTTP 503 status page",
-    "db.connect failed after 3 attempts",
-    "psycopg operational issue",
-    "code 503 without context",
-    "strange failure",
-    "Read timed out; HTTP 500",
-]
-CATEGORIES = [
-    "upstream unreachable",
-    "rate limited by the upstream API",
-    "upstream server error",
-    "warehouse unreachable",
-    "warehouse unreachable",
-    "poll failed",
-    "poll failed",
-    "upstream unreachable",
-]
-
-
-def _case(values):
-    return "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
-
-
-@query(
-    "classify_reason",
-    check(
-        f"""
-SELECT event_id, c || CASE WHEN c <> 'warehouse unreachable' AND event_id % 4 < 3 THEN ' (' || (3 - event_id % 4) || ' of 3 batches)' ELSE '' END AS reason
-FROM (SELECT event_id, {_case(CATEGORIES)} AS c FROM events)"""
-    ),
-)
+def _any(words):
+    return "(" + " OR ".join(f"contains(low, '{w}')" for w in words) + ")"
+
+
+REASONS = f"""
+SELECT source, id, c || CASE WHEN c <> 'warehouse unreachable' AND total <> 0 AND ok < total
+                             THEN ' (' || (total - ok) || ' of ' || total || ' batches)' ELSE '' END AS reason
+FROM (SELECT *, CASE WHEN {_any(text.UNREACHABLE_MARKERS)} THEN 'upstream unreachable'
+                     WHEN {_any(text.RATE_LIMIT_MARKERS)} THEN 'rate limited by the upstream API'
+                     WHEN regexp_matches(raw, '\\b5[0-9][0-9]\\b') AND {_any(text.SERVER_ERROR_WORDS)} THEN 'upstream server error'
+                     WHEN {_any(text.WAREHOUSE_MARKERS)} THEN 'warehouse unreachable' ELSE 'poll failed' END AS c
+      FROM (SELECT 'ledger' AS source, CAST(epoch_us(polled_at) AS BIGINT) AS id, error AS raw, lower(error) AS low, batches_ok AS ok, batches_total AS total
+            FROM pr WHERE error IS NOT NULL
+            UNION ALL
+            SELECT 'documents', doc_id, text, lower(text), doc_id % 4, 3 FROM documents WHERE text IS NOT NULL
+            UNION ALL
+            SELECT 'pages', page_id, html, lower(html), page_id % 4, 3 FROM pages WHERE html IS NOT NULL))"""
+
+
+@query("classify_reason", check(REASONS))
 def _(spark, sf):
-    kind = (F.col("event_id") % 8).cast("int")
-    error = F.element_at(F.array(*[F.lit(m) for m in MESSAGES]), kind + 1)
-    return d.table(spark, sf, "events").select(
-        "event_id", text.classify_reason(error, F.col("event_id") % 4, F.lit(3).cast("long")).alias("reason")
+    """Reasons of the ledger's errors, and of whole documents and raw pages, which hold every kind of marker."""
+    runs = d.poll_runs(spark, sf).select(
+        F.lit("ledger").alias("source"), F.unix_micros("polled_at").alias("id"), "error", F.col("batches_ok").cast("long").alias("ok"), F.col("batches_total").cast("long").alias("total")
+    )
+    of = lambda name, key, column: d.table(spark, sf, name).select(
+        F.lit(name).alias("source"), F.col(key).cast("long").alias("id"), F.col(column).alias("error"), (F.col(key) % 4).cast("long").alias("ok"), F.lit(3).cast("long").alias("total")
     )
+    rows = runs.unionByName(of("documents", "doc_id", "text")).unionByName(of("pages", "page_id", "html"))
+    reason = text.classify_reason(F.col("error"), F.col("ok"), F.col("total"))
+    return rows.filter(F.col("error").isNotNull()).select("source", "id", reason.alias("reason"))
 
 
 @query(

@@ -30,6 +30,9 @@ WAREHOUSE_MARKERS = [
 SERVER_ERROR_PATTERN = r"\b5\d{2}\b"
 SERVER_ERROR_WORDS = ["http", "status", "predictions", "mbta"]
 TRUNCATION_MARK = "... [truncated]"
+# The public reasons, one per group of markers.
+UNREACHABLE, RATE_LIMITED, SERVER_ERROR = "upstream unreachable", "rate limited by the upstream API", "upstream server error"
+WAREHOUSE, OTHER = "warehouse unreachable", "poll failed"
 
 
 def _has_any(text: Column, markers: list[str]) -> Column:
@@ -45,11 +48,11 @@ def classify_reason(error: Column, batches_ok: Column, batches_total: Column) ->
         F.format_string(" (%d of %d batches)", batches_total - batches_ok, batches_total),
     ).otherwise(F.lit(""))
     return (
-        F.when(_has_any(low, UNREACHABLE_MARKERS), F.concat(F.lit("upstream unreachable"), scope))
-        .when(_has_any(low, RATE_LIMIT_MARKERS), F.concat(F.lit("rate limited by the upstream API"), scope))
-        .when(server_error, F.concat(F.lit("upstream server error"), scope))
-        .when(_has_any(low, WAREHOUSE_MARKERS), F.lit("warehouse unreachable"))
-        .otherwise(F.concat(F.lit("poll failed"), scope))
+        F.when(_has_any(low, UNREACHABLE_MARKERS), F.concat(F.lit(UNREACHABLE), scope))
+        .when(_has_any(low, RATE_LIMIT_MARKERS), F.concat(F.lit(RATE_LIMITED), scope))
+        .when(server_error, F.concat(F.lit(SERVER_ERROR), scope))
+        .when(_has_any(low, WAREHOUSE_MARKERS), F.lit(WAREHOUSE))
+        .otherwise(F.concat(F.lit(OTHER), scope))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopline.config import LABEL_KEY, NO_LOWER_BOUND, LabelRules
@@ -68,54 +68,46 @@ def late_flag(delay_seconds: Column, rules: LabelRules) -> Column:
     return delay_seconds > rules.late_threshold_seconds
 
 
-def abutting_times(times: DataFrame, gaps: DataFrame, rules: LabelRules) -> DataFrame:
-    """The distinct ``polled_at`` values t whose window [t, t + margin] meets some gap.
+def gap_reaches(gaps: DataFrame, rules: LabelRules) -> DataFrame:
+    """(bucket, low, high): the moments t whose window [t, t + margin] meets some gap.
 
-    A gap is laid out over the margin-wide time buckets it can reach, which turns the interval
-    test into an equality join on the bucket; the number of buckets is bounded by the ledger's
-    span. No nested loop and no forced broadcast.
-    """
+    Reaches are laid out over margin-wide time buckets and merged inside each, so a moment lies in at
+    most one of its bucket's reaches. Their number is bounded by the ledger's span."""
     width = max(1, int(rules.settle_margin_seconds))
     reach = gaps.select(
-        tc.plus_seconds(F.col("gap_start"), -rules.settle_margin_seconds).alias("reach_start"),
-        F.col("gap_end").alias("reach_end"),
+        tc.plus_seconds(F.col("gap_start"), -rules.settle_margin_seconds).alias("low"), F.col("gap_end").alias("high")
     ).distinct()
-    spread = reach.withColumn(
-        "bucket",
-        F.explode(
-            F.sequence(tc.time_bucket(F.col("reach_start"), width), tc.time_bucket(F.col("reach_end"), width))
-        ),
-    )
-    moments = times.select("polled_at").distinct().withColumn("bucket", tc.time_bucket(F.col("polled_at"), width))
-    m, g = moments.alias("m"), spread.alias("g")
-    return m.join(
-        g,
-        (F.col("m.bucket") == F.col("g.bucket")) & F.col("m.polled_at").between(F.col("reach_start"), F.col("reach_end")),
-        "left_semi",
-    ).select("polled_at")
+    buckets = F.sequence(tc.time_bucket(F.col("low"), width), tc.time_bucket(F.col("high"), width))
+    spread = reach.withColumn("bucket", F.explode(buckets))
+    walk = Window.partitionBy("bucket").orderBy("low", "high")
+    earlier = F.max("high").over(walk.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("low") > earlier, F.lit(True)).cast("int")
+    islands = spread.withColumn("starts", starts).withColumn("island", F.sum("starts").over(walk))
+    return islands.groupBy("bucket", "island").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("island")
 
 
-def mark_gap_abutted(groups: DataFrame, times: DataFrame, gaps: DataFrame, rules: LabelRules) -> DataFrame:
+def mark_gap_abutted(groups: DataFrame, gaps: DataFrame, rules: LabelRules) -> DataFrame:
     """Add ``gap_abutted``: a gap overlaps [span end, span end + margin].
 
-    A span end is always some snapshot's ``polled_at``, so the interval test runs on the distinct
-    poll times (one per cycle) and is joined back by equality."""
-    flagged = abutting_times(times, gaps, rules).select(
-        F.col("polled_at").alias("observed_span_end"), F.lit(True).alias("gap_abutted")
-    )
-    return groups.join(flagged, "observed_span_end", "left").withColumn(
-        "gap_abutted", F.coalesce("gap_abutted", F.lit(False))
+    Span ends meet the merged reaches by an equality join on the time bucket; no nested loop, and no
+    second pass over the snapshots."""
+    width = max(1, int(rules.settle_margin_seconds))
+    end = F.col("observed_span_end")
+    g = groups.withColumn("_bucket", tc.time_bucket(end, width))
+    met = g.join(
+        gap_reaches(gaps, rules), (F.col("_bucket") == F.col("bucket")) & end.between(F.col("low"), F.col("high")), "left"
     )
+    return met.withColumn("gap_abutted", F.col("low").isNotNull()).drop("_bucket", "bucket", "low", "high")
 
 
-def close_labels(groups: DataFrame, times: DataFrame, gaps: DataFrame, as_of: Column, rules: LabelRules) -> DataFrame:
+def close_labels(groups: DataFrame, gaps: DataFrame, as_of: Column, rules: LabelRules) -> DataFrame:
     """Settled groups as label rows: delay, late flag and the closing reason.
 
     A missing arrival wins over a gap; a gap row keeps its delay but is not training-usable."""
     settled = groups.filter(is_settled(F.col("observed_span_end"), as_of, rules))
     delay = tc.whole_seconds(tc.micros_between(F.col("scheduled_arrival"), F.col("final_predicted_arrival")))
     return (
-        mark_gap_abutted(settled, times, gaps, rules)
+        mark_gap_abutted(settled, gaps, rules)
         .withColumn("delay_seconds", delay)
         .withColumn("late", late_flag(F.col("delay_seconds"), rules))
         .withColumn(

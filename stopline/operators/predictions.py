@@ -149,6 +149,10 @@ def accepted(mapped: DataFrame, failed: DataFrame) -> DataFrame:
     return mapped.join(failed.select(*SCOPE), SCOPE, "left_anti")
 
 
+SEGMENT_LINES = 100
+SEGMENT_PLACE = ["batch", "rank", "page_no", "section", "segment"]
+
+
 def _lines(rows: DataFrame, rank: int, text: Column, *place: str) -> DataFrame:
     """Ledger lines with a common order: batch, kind of line, place in the pages."""
     known = {"page_no": F.lit(0), "section": F.lit(""), "idx": F.lit(0), "seq": F.lit(0)}
@@ -168,13 +172,15 @@ def cycle_errors(page_rows: DataFrame, found: DataFrame, failed: DataFrame, max_
     )
     alive = capped.unionByName(broken).join(failed.select(*SCOPE), SCOPE, "left_anti")
     dead = _lines(failed, 2, F.concat(F.lit("failed: "), F.col("why")))
-    # The text is one ledger cell by definition; a cycle's batches and pages per batch are capped.
-    parts = F.array_sort(F.collect_list(F.struct("place", "text")))
-    return (
-        alive.unionByName(dead)
-        .groupBy("polled_at")
-        .agg(F.array_join(F.transform(parts, lambda e: e["text"]), "; ").alias("error"))
-    )
+    # The text is one ledger cell by definition. It is put together in segments: lines of a page by the
+    # hundred, then the segments of a cycle, so that no list holds all lines of a cycle.
+    lines = alive.unionByName(dead).select("polled_at", "place.*", "text")
+    lines = lines.withColumn("segment", F.floor(F.col("idx") / SEGMENT_LINES))
+    within = F.array_sort(F.collect_list(F.struct("idx", "seq", "text")))
+    joined = lambda parts: F.array_join(F.transform(parts, lambda e: e["text"]), "; ")
+    segments = lines.groupBy("polled_at", *SEGMENT_PLACE).agg(joined(within).alias("text"))
+    across = F.array_sort(F.collect_list(F.struct(*SEGMENT_PLACE, "text")))
+    return segments.groupBy("polled_at").agg(joined(across).alias("error"))
 
 
 def cycle_summary(

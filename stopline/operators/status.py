@@ -11,33 +11,52 @@ from stopline.operators import gates, ledger
 from stopline.operators import labels as lab
 
 
-def distinct_counts(stop_events: DataFrame) -> DataFrame:
-    return stop_events.agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.countDistinct("route_id").alias("distinct_routes"),
-        F.countDistinct("trip_id").alias("distinct_trips"),
-        F.countDistinct("stop_id").alias("distinct_stops"),
+IDS = ["route_id", "trip_id", "stop_id"]
+
+
+def _by_ids(stop_events: DataFrame, sums: dict[str, Column], firsts: dict[str, Column], lasts: dict[str, Column]) -> DataFrame:
+    """One row: the sums, minima and maxima, and the exact number of distinct values of each id.
+
+    Rows are reduced to one per (route, trip, stop) first, combined before the shuffle. Only those
+    are laid out once per id and reduced again, so no row of the table is ever multiplied."""
+    carry = {F.sum: sums, F.min: firsts, F.max: lasts}
+    reduced = stop_events.groupBy(*IDS).agg(*[c.alias(k) for part in carry.values() for k, c in part.items()])
+    laid = F.explode(F.array(*[F.struct(F.lit(k).alias("id"), F.col(k).cast("string").alias("value")) for k in IDS])).alias("_i")
+    named = reduced.select(laid, *[k for part in carry.values() for k in part]).select("_i.*", *[k for part in carry.values() for k in part])
+    each = named.groupBy("id", "value").agg(*[f(k).alias(k) for f, part in carry.items() for k in part])
+    once = lambda k: F.when(F.col("id") == IDS[0], F.col(k))
+    return each.agg(
+        *[F.coalesce(F.sum(once(k)), F.lit(0)).alias(k) for k in sums],
+        *[f(once(k)).alias(k) for f in (F.min, F.max) for k in carry[f]],
+        *[F.count_if((F.col("id") == k) & F.col("value").isNotNull()).alias(f"distinct_{k[:-3]}s") for k in IDS],
     )
 
 
+def distinct_counts(stop_events: DataFrame) -> DataFrame:
+    found = _by_ids(stop_events, {"rows_total": F.count(F.lit(1))}, {}, {})
+    return found.select("rows_total", "distinct_routes", "distinct_trips", "distinct_stops")
+
+
 def ingest_summary(stop_events: DataFrame, as_of: Column) -> DataFrame:
     """Totals, last hour, distinct ids, time range and null counts with their share."""
     recent = F.col("polled_at") >= tc.plus_seconds(F.col("now"), -3600)
     nulls = lambda c: F.count_if(F.col(c).isNull())
-    total = F.count(F.lit(1))
-    return stop_events.withColumn("now", as_of).agg(
-        total.alias("total_rows"),
-        F.count_if(recent).alias("last_hour_rows"),
-        F.countDistinct("trip_id").alias("distinct_trips"),
-        F.countDistinct("route_id").alias("distinct_routes"),
-        F.countDistinct("stop_id").alias("distinct_stops"),
-        F.min("polled_at").alias("min_polled_at"),
-        F.max("polled_at").alias("max_polled_at"),
-        nulls("scheduled_arrival").alias("scheduled_arrival_null"),
-        num.pct_text(nulls("scheduled_arrival"), total).alias("scheduled_arrival_null_pct"),
-        nulls("predicted_arrival").alias("predicted_arrival_null"),
-        num.pct_text(nulls("predicted_arrival"), total).alias("predicted_arrival_null_pct"),
+    found = _by_ids(
+        stop_events.withColumn("now", as_of),
+        {
+            "total_rows": F.count(F.lit(1)),
+            "last_hour_rows": F.count_if(recent),
+            "scheduled_arrival_null": nulls("scheduled_arrival"),
+            "predicted_arrival_null": nulls("predicted_arrival"),
+        },
+        {"min_polled_at": F.min("polled_at")},
+        {"max_polled_at": F.max("polled_at")},
     )
+    share = lambda c: num.pct_text(F.col(c), F.col("total_rows")).alias(f"{c}_pct")
+    return found.select(
+        "total_rows", "last_hour_rows", "distinct_trips", "distinct_routes", "distinct_stops", "min_polled_at", "max_polled_at",
+        "scheduled_arrival_null", share("scheduled_arrival_null"), "predicted_arrival_null", share("predicted_arrival_null"),
+    )
 
 
 def regime_report(labels: DataFrame, stop_events: DataFrame, runs: DataFrame, gap_threshold_seconds: float) -> DataFrame:

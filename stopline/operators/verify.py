@@ -19,28 +19,51 @@ def _featured(features: DataFrame, labels: DataFrame) -> DataFrame:
     return feat.training_set(features, labels).select(*feat.RATE_KEY, feat.AT, "late", RATE)
 
 
-def recompute_check(features: DataFrame, labels: DataFrame) -> DataFrame:
+def running_before(points: DataFrame, segments: int) -> DataFrame:
+    """Add ``n_before`` and ``k_before``: sums over strictly earlier times of the same key.
+
+    Times are cut into ranges of like size, by quantiles of all times. A plain window runs inside
+    each (key, range); what lies in a key's earlier ranges is carried in, from one total per range. So
+    a key with a third of all rows is ``segments`` windows instead of one."""
+    at = F.unix_micros(feat.AT)
+    cuts = points.agg(F.percentile_approx(at, [k / segments for k in range(1, segments)], 10 * segments).alias("cuts"))
+    cuts = F.coalesce(cuts.scalar(), F.array().cast("array<long>"))
+    placed = points.withColumn("cuts", cuts).withColumn("part", F.size(F.filter("cuts", lambda c: c < at))).drop("cuts")
+    key = [*feat.RATE_KEY, "part"]
+    inside = Window.partitionBy(*key).orderBy(feat.AT).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    across = Window.partitionBy(*feat.RATE_KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*key, F.sum("n").over(across).alias("n_carried"), F.sum("k").over(across).alias("k_carried"))
+    local = placed.withColumns({f"{c}_local": F.sum(c).over(inside) for c in ("n", "k")})
+    sums = {f"{c}_before": F.coalesce(f"{c}_local", F.lit(0)) + F.coalesce(f"{c}_carried", F.lit(0)) for c in ("n", "k")}
+    return local.join(carried, key).withColumns(sums).select(*points.columns, "n_before", "k_before")
+
+
+def recompute_check(features: DataFrame, labels: DataFrame, segments: int = 32) -> DataFrame:
     """Rows whose stored rate differs from one recomputed over the featured rows.
 
-    Rows are first reduced to one per (bucket, time, stored rate), so the comparison joins
-    distinct times instead of rows."""
-    stored = (
+    Rows are reduced to one per (bucket, time) with the range of stored rates there; every step from
+    there on is this check's own and shares nothing with the build. Only times whose stored rates
+    are not one value need their rows told apart, and any row there that differs is counted."""
+    known = F.col(RATE).isNotNull()
+    points = (
         _featured(features, labels)
         .groupBy(*feat.RATE_KEY, feat.AT, RATE)
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("late").cast("int")).alias("late_rows"))
+        .groupBy(*feat.RATE_KEY, feat.AT)
+        .agg(
+            F.sum("rows").alias("n"),
+            F.sum("late_rows").alias("k"),
+            F.map_from_entries(F.collect_list(F.when(known, F.struct(RATE, "rows")))).alias("rates"),
+            F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("unknown"),
+        )
     )
-    points = stored.groupBy(*feat.RATE_KEY, feat.AT).agg(F.sum("rows").alias("n"), F.sum("late_rows").alias("k"))
-    # A plain window, so that the check shares no step with the build; it holds one row per distinct time.
-    earlier = Window.partitionBy(*feat.RATE_KEY).orderBy(feat.AT).rowsBetween(Window.unboundedPreceding, -1)
-    again = points.select(
-        *feat.RATE_KEY, feat.AT, F.try_divide(F.sum("k").over(earlier), F.sum("n").over(earlier)).alias("again")
-    )
-    wrong = (F.col(RATE).isNull() != F.col("again").isNull()) | (
-        F.abs(F.coalesce(RATE, F.lit(0.0)) - F.coalesce("again", F.lit(0.0))) > TOLERANCE
-    )
-    return stored.join(again, [*feat.RATE_KEY, feat.AT]).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("compared"),
-        F.coalesce(F.sum(F.when(wrong, F.col("rows"))), F.lit(0)).alias("mismatches"),
+    again = F.try_divide(F.col("k_before"), F.col("n_before"))
+    near = lambda rate, _: F.coalesce(F.abs(rate - again) <= TOLERANCE, F.lit(False))
+    right = F.aggregate(F.map_values(F.map_filter("rates", near)), F.lit(0).cast("long"), lambda total, n: total + n)
+    right = right + F.when(again.isNull(), F.col("unknown")).otherwise(0)
+    return running_before(points, segments).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("compared"), F.coalesce(F.sum(F.col("n") - right), F.lit(0)).alias("mismatches")
     )
 
 

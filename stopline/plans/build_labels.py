@@ -22,13 +22,13 @@ def closed_labels(
     ``as_of`` defaults to the latest ledger row. ``ledger_until`` pins the ledger for reruns."""
     cycles = runs if ledger_until is None else runs.filter(F.col("polled_at") <= ledger_until)
     groups = lab.touched_groups(stop_events, since, until)
-    return _close(groups, stop_events, cycles, rules, as_of)
+    return _close(groups, cycles, rules, as_of)
 
 
-def _close(groups: DataFrame, stop_events: DataFrame, cycles: DataFrame, rules: LabelRules, as_of) -> DataFrame:
+def _close(groups: DataFrame, cycles: DataFrame, rules: LabelRules, as_of) -> DataFrame:
     moment = ledger.latest_cycle(cycles).scalar() if as_of is None else as_of
     gaps = ledger.gap_intervals(cycles, rules.gap_threshold_seconds)
-    return lab.close_labels(groups, stop_events, gaps, moment, rules)
+    return lab.close_labels(groups, gaps, moment, rules)
 
 
 def build_labels(
@@ -54,7 +54,7 @@ def build_labels(
     latest = started if latest is None else latest
     moment = F.timestamp_micros(F.lit(latest)) if isinstance(latest, int) else F.lit(latest).cast("timestamp")
     groups = tb.stage(lab.touched_groups(stop_events, low, high), "groups")
-    rows = _close(groups, stop_events, runs, rules, moment).withColumn("built_at", F.lit(started).cast("timestamp"))
+    rows = _close(groups, runs, rules, moment).withColumn("built_at", F.lit(started).cast("timestamp"))
     written = tb.upsert(rows, labels_path, LABEL_KEY, "service_date_norm")
     summary = gates.side_by_side(
         groups.agg(F.count(F.lit(1)).alias("groups_considered")),

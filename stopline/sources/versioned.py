@@ -388,7 +388,7 @@ def sized(rows: DataFrame, partition: str | None, bytes_per_row: float | None, t
         slices = max(1, round(r["n"] * bytes_per_row / target))
         slots.append((r[partition] if partition else None, first, slices))
         first += slices
-    writer = lambda df: df.write.partitionBy(partition).parquet(folder) if partition else df.write.parquet(folder)
+    writer = lambda df: (df.write.partitionBy(partition) if partition else df.write).mode("append").parquet(folder)
     if not slots:
         writer(rows.limit(0))
         return

@@ -1,3 +1,4 @@
+import random
 from pyspark.sql import functions as F
 
 from stopline.sources import tables as tb
@@ -104,3 +105,28 @@ def test_horizon_delay_uses_the_last_snapshot_ten_minutes_ahead(events):
     at_ = lambda o, p: dict(polled_at=plus(T, o), scheduled_arrival=plus(T, 1200), predicted_arrival=plus(T, 1200 + p))
     got = feat.horizon_delay(events(at_(0, 10), at_(600, 20), at_(601, 30))).first()
     assert got["horizon_delay_seconds"] == 20
+
+
+def test_recomputation_in_ranges_equals_a_plain_window(spark):
+    rng = random.Random(2)
+    rows = [("hot" if rng.random() < 0.8 else f"r{rng.randrange(3)}", 8, plus(T, 60 * k), rng.randrange(1, 4), rng.randrange(2)) for k in rng.sample(range(2000), 500)]
+    points = spark.createDataFrame(rows, f"route_id string, hour_of_day int, {feat.AT} timestamp, n int, k int")
+    want = {}
+    for route, _, at_, n, k in sorted(rows, key=lambda r: r[2]):
+        want[route, at_] = want.get(route, (0, 0))
+        want[route] = (want.get(route, (0, 0))[0] + n, want.get(route, (0, 0))[1] + k)
+        want[route, at_] = (want[route][0] - n, want[route][1] - k)
+    got = verify.running_before(points, 16).collect()
+    assert len(got) == 500
+    assert all((r["n_before"], r["k_before"]) == want[r["route_id"], r[feat.AT].replace(tzinfo=T.tzinfo)] for r in got)
+
+
+def test_one_corrupted_rate_is_found(labels):
+    df = labels(*[row(f"t{i}", 60 * (i // 2), 300 if i % 3 else 0) for i in range(30)])
+    good = feat.build(df)
+    bad = good.withColumn(RATE, F.when(F.col("trip_id") == "t17", F.col(RATE) / 2).otherwise(F.col(RATE)))
+    assert verify.recompute_check(bad, df).first()["mismatches"] == 1
+    lost = good.withColumn(RATE, F.when(F.col("trip_id") != "t17", F.col(RATE)))
+    assert verify.recompute_check(lost, df).first()["mismatches"] == 1
+    made = good.withColumn(RATE, F.coalesce(RATE, F.lit(0.0)))
+    assert verify.recompute_check(made, df).first()["mismatches"] == 2  # the two rows without history

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -62,12 +63,12 @@ def test_gap_rows_keep_their_delay(events, runs):
 
 
 def test_gap_before_inside_and_after_the_window(spark, events):
-    times = events(dict(polled_at=T))
+    times = events(dict(polled_at=T)).selectExpr("polled_at as observed_span_end")
     schema = "gap_start timestamp, gap_end timestamp"
     cases = [(-300, -1, False), (-300, 0, True), (50, 50, True), (MARGIN, MARGIN + 500, True), (MARGIN + 1, MARGIN + 500, False), (-99999, 99999, True)]
     for start, end, wanted in cases:
         gaps = spark.createDataFrame([(plus(T, start), plus(T, end))], schema)
-        assert (lab.abutting_times(times, gaps, RULES).count() == 1) is wanted, (start, end)
+        assert lab.mark_gap_abutted(times, gaps, RULES).first()["gap_abutted"] is wanted, (start, end)
 
 
 def test_one_trip_id_on_two_service_days_gives_two_labels(events, runs):
@@ -119,3 +120,23 @@ def test_failed_gates_are_recorded(spark, events, runs):
 def test_gates_on_no_rows(labels):
     row = gates.label_gates(labels(dict(scheduled_arrival=T)).filter("false")).select("gate_results").first()[0]
     assert [row[g]["passed"] for g in ("volume", "null_rate", "label_rate")] == [False, True, False]
+
+
+def test_merged_reaches_equal_every_gap_on_its_own(spark):
+    rng = random.Random(9)
+    ends = spark.createDataFrame([(plus(T, rng.randrange(40_000) / 2),) for _ in range(300)], "observed_span_end timestamp")
+    for _ in range(3):
+        gaps = [(a, a + rng.choice([0, 0, 30, 500, 4000])) for a in (rng.randrange(20_000) for _ in range(25))]
+        frame = spark.createDataFrame([(plus(T, a), plus(T, b)) for a, b in gaps], "gap_start timestamp, gap_end timestamp")
+        got = lab.mark_gap_abutted(ends, frame, RULES).collect()
+        assert len(got) == 300
+        for r in got:
+            at = (r["observed_span_end"].replace(tzinfo=T.tzinfo) - T).total_seconds()
+            assert r["gap_abutted"] is any(a <= at + MARGIN and b >= at for a, b in gaps)
+
+
+def test_labels_are_closed_in_one_pass_over_the_snapshots(spark, events, runs):
+    path, cycles = work_path(spark, "one"), runs([(plus(T, 66 * i), None) for i in range(20)])
+    events(*seen(0)).write.parquet(path)
+    plan = bl.closed_labels(spark.read.parquet(path), cycles, RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Expand" not in plan

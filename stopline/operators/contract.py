@@ -6,6 +6,8 @@ per violation comes out, in page order; a clean page gives none.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,6 +178,21 @@ def violations(checked: DataFrame) -> DataFrame:
     ).select(*pg.PAGE_KEY, "section", "idx", "seq", "v.path", "v.clause", "v.value")
 
 
+OTHER_CLAUSE = "rel_id_type"
+# The ledger's sentences, one per kind of violation; readers of the ledger match on them.
+SENTENCES = {
+    "resource_type": "{place}: {value}, expected 'prediction'",
+    "top_level": "{where}: missing required top-level field '{path}'",
+    "attr_missing": "{place}: missing (required by contract)",
+    "rel_missing": "{place}: missing (required by contract)",
+    "attr_null": "{place}: null, but contract marks this field non-nullable",
+    "attr_type": "{place}: value {value} does not match contract type '{declared}'",
+    "attr_allowed": "{place}: value {value} not in allowed values {allowed}",
+    "rel_null_data": "{place}: null, but contract marks this relationship non-nullable",
+    "rel_id_type": "{place}: not a string ({value})",
+}
+
+
 def message(contract: dict = CONTRACT) -> Column:
     """A violation as ledger text, naming page, resource and rule."""
     kind = F.when(F.col("section") == "data", F.lit("prediction")).otherwise(F.lit("schedule"))
@@ -202,32 +219,23 @@ def message(contract: dict = CONTRACT) -> Column:
         ]
     )
     field = F.concat(kind, F.lit("."), F.col("path"))
-    value = F.col("value")
-    text = (
-        F.when(F.col("clause") == "resource_type", F.concat(place, F.lit(": "), value, F.lit(", expected 'prediction'")))
-        .when(
-            F.col("clause") == "top_level",
-            F.concat(where, F.lit(": missing required top-level field '"), F.col("path"), F.lit("'")),
-        )
-        .when(F.col("clause").isin("attr_missing", "rel_missing"), F.concat(place, F.lit(": missing (required by contract)")))
-        .when(F.col("clause") == "attr_null", F.concat(place, F.lit(": null, but contract marks this field non-nullable")))
-        .when(
-            F.col("clause") == "attr_type",
-            F.concat(place, F.lit(": value "), value, F.lit(" does not match contract type '"), F.try_element_at(declared, field), F.lit("'")),
-        )
-        .when(
-            F.col("clause") == "attr_allowed",
-            F.concat(place, F.lit(": value "), value, F.lit(" not in allowed values "), F.try_element_at(allowed, field)),
-        )
-        .when(
-            F.col("clause") == "rel_null_data",
-            F.concat(place, F.lit(": null, but contract marks this relationship non-nullable")),
-        )
-        .otherwise(F.concat(place, F.lit(": not a string ("), value, F.lit(")")))
-    )
+    parts = {
+        "where": where, "place": place, "path": F.col("path"), "value": F.col("value"),
+        "declared": F.try_element_at(declared, field), "allowed": F.try_element_at(allowed, field),
+    }
+    text = filled(SENTENCES[OTHER_CLAUSE], parts)
+    for clause, sentence in SENTENCES.items():
+        if clause != OTHER_CLAUSE:
+            text = F.when(F.col("clause") == clause, filled(sentence, parts)).otherwise(text)
     return F.concat(F.format_string("page %d: ", F.col("page_no")), text)
 
 
+def filled(sentence: str, parts: dict[str, Column]) -> Column:
+    """The sentence with each {name} replaced by a column; null where one of them is null."""
+    pieces = [F.lit(p) if k % 2 == 0 else parts[p] for k, p in enumerate(re.split(r"\{(\w+)\}", sentence)) if p]
+    return F.concat(*pieces)
+
+
 def on_valid_pages(checked: DataFrame) -> DataFrame:
     """Resources of pages without any violation; a page with one is dropped whole, others stay."""
     bad = checked.filter(F.size("found") > 0).select(*pg.PAGE_KEY).distinct()

@@ -27,6 +27,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # whole texts: a few MB a batch
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1024")
     return spark
 
 

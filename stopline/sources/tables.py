@@ -18,6 +18,7 @@ from stopline.session import work_path
 from stopline.sources.versioned import Files, Table, Version
 
 MONTH = "polled_month"
+STAGED_BLOCK = 32 << 20  # row groups of staged tables, whose columns may be whole texts
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -40,14 +41,24 @@ _SCRATCH: list[list[str]] = []
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables staged inside the block when it ends: for jobs whose results are stored by then."""
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Remove the tables staged inside the block when it ends, but for those that a DataFrame put into the
+    block's list still reads."""
+    needed: list[DataFrame] = []
     _SCRATCH.append([])
+    done = False
     try:
-        yield
+        yield needed
+        done = True
     finally:
-        for path in _SCRATCH.pop():
-            Files(spark, path).remove(path)
+        staged = _SCRATCH.pop()
+        read = {f for df in needed for f in df.inputFiles()} if done else set()
+        for path in staged:
+            name = path.rsplit("/", 1)[1]
+            if not any(f"/{name}/" in f for f in read):
+                Files(spark, path).remove(path)
+            elif _SCRATCH:
+                _SCRATCH[-1].append(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -55,7 +66,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", STAGED_BLOCK).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ def link(ident, kind):
     return {"data": None if ident is None else {"id": ident, "type": kind}}
 
 
-def prediction(n, trip="t1", stop="s1", route="23", direction=0, arrival="2026-08-12T21:35:03-04:00",
+def prediction(n, trip="t1", stop="s1", route="23", direction=0, arrival="2026-08-12T21:17:46-04:00",
                departure=None, vehicle="v1", schedule=None):
     return {
         "id": f"prediction-{n}",
@@ -25,7 +25,7 @@ def prediction(n, trip="t1", stop="s1", route="23", direction=0, arrival="2026-0
     }
 
 
-def schedule(ident, arrival="2026-08-12T21:38:00-04:00", **more):
+def schedule(ident, arrival="2026-08-12T21:19:30-04:00", **more):
     return {"id": ident, "type": "schedule", "attributes": {"arrival_time": arrival, "departure_time": None} | more}
 
 

@@ -45,7 +45,7 @@ def test_pct_text(spark):
 def test_iso_round_trip(spark):
     assert one(spark, tc.iso_utc(F.col("t")), t=at("2026-08-13 02:30:00")) == "2026-08-13T02:30:00.000000Z"
     parse = lambda s: one(spark, F.unix_seconds(tc.parse_iso(F.col("s"))), s=s)
-    assert parse("2026-08-12T21:38:00-04:00") == parse("2026-08-13T01:38:00") == int(at("2026-08-13 01:38:00").timestamp())
+    assert parse("2026-08-12T21:19:30-04:00") == parse("2026-08-13T01:19:30") == int(at("2026-08-13 01:19:30").timestamp())
     assert parse("") is None and parse("soon") is None
 
 

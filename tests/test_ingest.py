@@ -39,7 +39,7 @@ def test_eight_predictions_give_six_rows(spark):
     assert r.mapped.count() == 6 and "gone" not in rows
     a = rows["a"]
     assert (a["route_id"], a["stop_id"], a["direction_id"], a["vehicle_id"]) == ("23", "s1", 0, "v1")
-    assert a["s"] == at("2026-08-13 01:38:00").timestamp() and a["p"] == at("2026-08-13 01:35:03").timestamp()
+    assert a["s"] == at("2026-08-13 01:19:30").timestamp() and a["p"] == at("2026-08-13 01:17:46").timestamp()
     assert rows["added"]["s"] is None and rows["added"]["p"] is not None and rows["added"]["direction_id"] == 1
     origin = rows["origin"]
     assert origin["s"] is None and origin["p"] is None and origin["vehicle_id"] is None
@@ -121,7 +121,7 @@ def test_clean_cycle_has_no_error_and_an_empty_page_counts(spark):
 
 
 def test_an_unreadable_time_fails_its_batch_only(spark):
-    odd = feed.page([feed.prediction(1, "a", arrival="2026-08-12T21:35:03 or so"), feed.prediction(2, "b")])
+    odd = feed.page([feed.prediction(1, "a", arrival="2026-08-12T21:17:46 or so"), feed.prediction(2, "b")])
     events, runs = summary(spark, (0, 1, odd), (1, 1, feed.page([feed.prediction(3, "c")])))
     assert set(by_trip(events)) == {"c"}
     assert runs[0]["batches_ok"] == 1 and runs[0]["error"] == "batch 0 failed: page 1 holds an unreadable time"

@@ -123,11 +123,15 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return labels.filter(F.col("closed_reason").isNull())
 
 
-def label_counts(labels: DataFrame) -> DataFrame:
+def label_count_columns() -> list[Column]:
     reason = F.col("closed_reason")
-    return labels.agg(
+    return [
         F.count(F.lit(1)).alias("labels_total"),
         F.count_if(reason.isNull()).alias("labels_usable"),
         F.count_if(reason == "gap_abutted").alias("labels_gap_abutted"),
         F.count_if(reason == "no_arrival_signal").alias("labels_no_arrival"),
-    )
+    ]
+
+
+def label_counts(labels: DataFrame) -> DataFrame:
+    return labels.agg(*label_count_columns())

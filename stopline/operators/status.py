@@ -9,6 +9,7 @@ from stopline.functions import numeric as num
 from stopline.functions import timecols as tc
 from stopline.operators import gates, ledger
 from stopline.operators import labels as lab
+from stopline.sources import tables as tb
 
 
 IDS = ["route_id", "trip_id", "stop_id"]
@@ -63,12 +64,11 @@ def regime_report(labels: DataFrame, stop_events: DataFrame, runs: DataFrame, ga
     """Ingestion window, snapshots and uptime up to its end, and label counts, in one row.
 
     The window comes from the labels' own spans, so later polling does not move the report."""
-    span = labels.agg(F.min("observed_span_start").alias("ingest_start"), F.max("observed_span_end").alias("ingest_end"))
-    end = labels.agg(F.max("observed_span_end")).scalar()
+    span = [F.min("observed_span_start").alias("ingest_start"), F.max("observed_span_end").alias("ingest_end")]
+    counted = tb.stage(labels.agg(*span, *lab.label_count_columns()), "regime")  # one row, from one pass
+    end = counted.select("ingest_end").scalar()
     seen = stop_events.filter(F.col("polled_at") <= end).agg(F.count(F.lit(1)).alias("stop_events_rows"))
-    row = gates.side_by_side(
-        span, seen, lab.label_counts(labels), ledger.uptime(runs, gap_threshold_seconds, until=end)
-    )
+    row = gates.side_by_side(counted, seen, ledger.uptime(runs, gap_threshold_seconds, until=end))
     return row.withColumn("ingest_days", tc.epoch_seconds(F.col("ingest_start"), F.col("ingest_end")) / 86400.0)
 
 

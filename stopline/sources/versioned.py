@@ -190,26 +190,35 @@ class Table:
 
     def append(self, rows: DataFrame) -> Version:
         before = self.current()
-        return self.publish(before, (before.parts if before else []) + self.write(rows), rows.schema)
+        return self._compacted(self.publish(before, (before.parts if before else []) + self.write(rows), rows.schema))
 
     def put(self, rows: DataFrame, key: list[str], replace: bool) -> Version:
         """Append rows to a log; with ``replace`` they win over stored rows of their key, else those stay."""
         before = self.current()
         number = before.number + 1 if before else 1
         marked = rows.withColumns({SEQUENCE: F.lit(number).cast("long"), REPLACES: F.lit(replace)})
-        version = self.publish(before, (before.parts if before else []) + self.write(marked), marked.schema, key)
+        return self._compacted(self.publish(before, (before.parts if before else []) + self.write(marked), marked.schema, key))
+
+    def _compacted(self, version: Version, key: list[str] | None = None) -> Version:
+        """Partitions of many small parts, as micro-batches leave them, become one part each; versions
+        older than the last ten go with them."""
         sizes: dict[str, int] = {}
         for p in version.parts:
             sizes[p.directory] = sizes.get(p.directory, 0) + 1
         full = [d for d, n in sizes.items() if n > MOST_PARTS]
-        return self.compact(full) if full else version
+        if not full:
+            return version
+        version = self.compact(full, key)
+        self.vacuum(keep=10)
+        return version
 
-    def compact(self, directories: list[str]) -> Version:
-        """Merge the parts of some partitions of a log into one each; what readers see stays the same."""
+    def compact(self, directories: list[str], key: list[str] | None = None) -> Version:
+        """Merge the parts of some partitions into one each; what readers see stays the same. ``key`` stores
+        bit filters of the merged parts' keys anew."""
         version = self.current()
         old = [p for p in version.parts if p.directory in directories]
-        one = merged(self.of_parts(version, old), version.merge)
-        new = self.write(one)
+        one = self.of_parts(version, old)
+        new = self.write(merged(one, version.merge) if version.merge else one, key)
         return self.publish(version, [p for p in version.parts if p not in old] + new, T.StructType.fromJson(json.loads(version.schema)), version.merge)
 
     def replace_all(self, rows: DataFrame) -> Version:
@@ -262,7 +271,7 @@ class Table:
                 fresh = batch.join(stored, key, "left_anti").select(*schema.names)
                 new = self.write(fresh, kept_key)
         if new or before is None:
-            self.publish(before, (before.parts if before else []) + new, schema)
+            self._compacted(self.publish(before, (before.parts if before else []) + new, schema), kept_key)
         return sum(p.rows for p in new)
 
     # --- keys in other partitions

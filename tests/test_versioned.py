@@ -218,3 +218,18 @@ def test_staged_tables_go_with_their_block(spark):
         path = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
         assert staged.count() == 3 and os.path.isdir(path)
     assert not os.path.exists(path)
+
+
+def test_many_small_batches_become_one_part(spark, monkeypatch):
+    monkeypatch.setattr(versioned, "MOST_PARTS", 2)
+    path, key = work_path(spark, "small"), ["key", "at"]
+    for k in range(6):
+        rows = sightings(spark, (f"k{k}", f"2026-01-0{k + 1} 00:00:00", k % 2), ("again", "2026-01-01 00:00:00", 7))
+        tb.insert_absent(rows, path, key, "day", clock="at")
+    table = Table(spark, path, "day", "at")
+    assert len(table.current().parts) <= 5 and table.read().count() == 7
+    assert tb.insert_absent(sightings(spark, ("k0", "2026-01-01 00:00:00", 9)), path, key, "day", clock="at") == 0
+    notes = work_path(spark, "notes")
+    for k in range(9):
+        tb.append(spark.range(k, k + 1), notes)
+    assert len(Table(spark, notes).current().parts) <= 4 and sorted(r[0] for r in tb.read(spark, notes).collect()) == list(range(9))

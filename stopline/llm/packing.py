@@ -27,6 +27,7 @@ from stopline.llm.vocabulary import WORD_PATTERN, Bounded, Encoder, tokenizer_pa
 
 WINDOW = 2048
 END_ID = 1
+FLUSH_BYTES = 2_000_000
 
 # The published byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -43,7 +44,7 @@ class Words:
         self.encoder = Encoder(path)
         self.model = self.encoder.tokenizer.model
         self.split = regex.compile(WORD_PATTERN).findall
-        self.pieces = Bounded(self._piece)
+        self.pieces = Bounded(self._piece, 200_000)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece: one word, a word and its last mark, or what the pattern splits it into."""
@@ -141,10 +142,11 @@ def _packed(path: str, window: int, end_id: int, names: list[str], first_id: int
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
+            size = 0
             kinds = [batch.schema.field("doc_id").type, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 3]
             schema = pa.schema(list(zip(names, kinds)))
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = words.ids(text) + end
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids = words.ids(text.as_py()) + end
                 total = len(ids) // 4
                 whole = total - total % window
                 for start in range(0, whole, window):
@@ -153,10 +155,16 @@ def _packed(path: str, window: int, end_id: int, names: list[str], first_id: int
                     closed = packer.add((doc, whole, ids[4 * whole :], total), total - whole)
                     if closed:
                         full(closed)
+                size += len(ids)
+                if size > FLUSH_BYTES:
+                    yield flush()
+                    size = 0
             yield flush()
         if schema is not None:
             for pieces in _recut([p for w in packer.rest() for p in w], window):
                 full(pieces)
+                if len(done) > window:
+                    yield flush()
             yield flush()
 
     return run

@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from functools import wraps
 
 import stopline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopline.sources.tables import stage
+from stopline.sources.tables import scratch, stage
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -76,4 +77,38 @@ def with_candidate(rows: DataFrame, key: str, filter_rows: DataFrame, bits: int,
     )
 
 
-__all__ = ["WHITE", "WORD", "bit_filter", "filter_bits", "held_out", "ship", "stage", "table", "text_of", "with_candidate"]
+def salted_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", share: int = 200) -> DataFrame:
+    """``rows`` joined with a table that has one row per key, however many rows share a key.
+
+    A key with more than 1/``share`` of the rows is dealt out in slices of that size, and its one row of
+    the table is repeated for each. Fewer than ``share`` keys can be that frequent, so the list of them
+    is small whatever the data. ``rows`` is read twice, so it should be stored."""
+    limit = max(1, rows.count() // share)
+    slices = F.ceil(F.col("n") / limit).cast("int").alias("_slices")
+    hot = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))
+    found = hot.filter(F.col("n") > limit).select("_hot", slices)
+    few = rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    n = F.coalesce("_slices", F.lit(1))
+    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), n).cast("int")
+    one = rows.join(F.broadcast(few), F.col(key) == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot", "_slices")
+    two = table.join(F.broadcast(few), F.col(key) == F.col("_hot"), "left")
+    two = two.withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_hot", "_slices")
+    return one.join(two, [key, "_salt"], how).drop("_salt")
+
+
+def tidy(operator):
+    """An operator that removes its staged tables when it returns, but for those its result reads."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **named):
+        with scratch(docs.sparkSession) as needed:
+            out = operator(docs, *args, **named)
+            needed += [d for d in (out, getattr(out, "table", None)) if isinstance(d, DataFrame)]
+        return out
+
+    return run
+
+
+__all__ = [
+    "WHITE", "WORD", "bit_filter", "filter_bits", "held_out", "salted_join", "ship", "stage", "table", "text_of", "tidy", "with_candidate",
+]

@@ -34,15 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import bit_filter, stage, text_of, with_candidate
+from stopline.llm.common import bit_filter, filter_bits, stage, text_of, tidy, with_candidate
 
 LENGTH = 200
 HALF = LENGTH // 2
 GRAM = 8
-SEGMENT = 2_000_000
-SPLITTERS = 4000
+SEGMENT = 400_000
+HELD_BYTES = 32_000_000
 ENTRIES_PER_RANGE = 40_000
-FILTER_BITS = 24
+MOST_BITS = 27
+EDGES_PER_RANGE = 4
 BLOCK = 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -178,11 +179,11 @@ def front_coded(entries: list[tuple[bytes, bytes, list]]) -> list[bytes]:
         rests.append(primary[h:])
         before = primary
     small = lambda values: np.array(values, "<u2").tobytes()
-    origins = [o for e in entries for o in e[2]]
+    origins = [o for e in entries for o in e[2]]  # a row and a place in turn
     return [
         small(shared), small([len(r) for r in rests]), b"".join(rests),
         small([len(e[1]) for e in entries]), b"".join(e[1] for e in entries),
-        np.array([len(e[2]) for e in entries], "<u4").tobytes(), np.array(origins, "<i8").tobytes(),
+        np.array([len(e[2]) // 2 for e in entries], "<u4").tobytes(), np.array(origins, "<i8").tobytes(),
     ]
 
 
@@ -242,11 +243,11 @@ def _runs(filter_words, bits: int, splitters):
                         if len(secondary) < LENGTH - len(primary):
                             continue
                         spots = held.setdefault((side, primary, secondary), [])
-                        if not spots:
-                            size += len(primary) + len(secondary) + 200
-                        spots.append((ids[numbers[o]], origin))
-                        size += 100
-                if size > 60_000_000:
+                        if not spots:  # two byte strings, their tuple, a dictionary's entry and a list
+                            size += len(primary) + len(secondary) + 400
+                        spots += (ids[numbers[o]], origin)
+                        size += 60
+                if size > HELD_BYTES:
                     yield flush()
                     size = 0
         yield flush()
@@ -386,22 +387,28 @@ def _filter_array(keys: DataFrame, bits: int) -> np.ndarray:
     return words.view(np.uint64)
 
 
-def repeated_spans(rows: DataFrame, filter_bits: int = FILTER_BITS, entries_per_range: int = ENTRIES_PER_RANGE) -> DataFrame:
-    """(rid, a, b): byte ranges to remove, overlapping, from rows (rid, text)."""
+def repeated_spans(rows: DataFrame, bits: int | None = None, entries_per_range: int = ENTRIES_PER_RANGE) -> DataFrame:
+    """(rid, a, b): byte ranges to remove, overlapping, from rows (rid, text).
+
+    The order is split into ranges of like size, as many as the counted halves ask for; the driver sees
+    about four halves of 100 bytes for each range of 40,000 suffixes."""
     spark = rows.sparkSession
     halves = rows.select("text").mapInArrow(_halves, "key long, n long, sample binary")
     counted = halves.groupBy("key").agg(F.sum("n").alias("n"), F.min("sample").alias("sample"))
     counted = stage(counted.filter("n > 1"), "suffix-halves")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    if not total:
+    size = counted.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.count("sample").alias("samples")).first()
+    if not size["keys"]:
         return spark.createDataFrame([], SPAN)
-    words = _filter_array(counted.select("key"), filter_bits)
-    sample = counted.filter("sample IS NOT NULL").orderBy("key").limit(SPLITTERS).select("sample").collect()
+    bits = bits or filter_bits(size["keys"], most=MOST_BITS)
+    words = _filter_array(counted.select("key"), bits)
+    ranges = -(-size.n // entries_per_range)
+    every = max(1, size.samples // (EDGES_PER_RANGE * ranges))
+    sample = counted.filter(F.col("sample").isNotNull() & (F.pmod(F.xxhash64("key"), F.lit(every)) == 0)).select("sample").collect()
     sample = sorted(bytes(r.sample) for r in sample)
-    ranges = max(1, min(len(sample) + 1, -(-total // entries_per_range)))
+    ranges = min(len(sample) + 1, ranges)
     edges = sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
     runs = rows.select("rid", "text").mapInArrow(
-        _runs(spark.sparkContext.broadcast(words), filter_bits, spark.sparkContext.broadcast(edges)), RUN
+        _runs(spark.sparkContext.broadcast(words), bits, spark.sparkContext.broadcast(edges)), RUN
     )
     return runs.groupBy("part").applyInArrow(_merge, SPAN)
 
@@ -442,15 +449,17 @@ def _cut(keep_text: bool):
     return run
 
 
+@tidy
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_removed, n_spans, kept_sha256, n_bytes; with ``keep_text`` also the kept bytes."""
     rows = docs.select(
         F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), F.xxhash64(id_col, text_of(text_col)).alias("rid")
     )
     spans = stage(repeated_spans(rows).distinct(), "suffix-spans")
-    each = spans.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    words = stage(bit_filter(spans.select("rid"), "rid", 22), "suffix-docs")
-    marked = with_candidate(rows, "rid", words, 22, "may")
+    each = stage(spans.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "suffix-documents")
+    bits = filter_bits(each.count())
+    words = stage(bit_filter(each.select("rid"), "rid", bits), "suffix-docs")
+    marked = with_candidate(rows, "rid", words, bits, "may")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_removed long, n_spans long, kept_sha256 string, n_bytes long" + ", kept binary" * keep_text
     touched = marked.filter("may").join(each, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_cut(keep_text), schema)

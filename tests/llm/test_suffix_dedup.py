@@ -65,7 +65,7 @@ def test_many_ranges_segments_and_small_blocks(docs, monkeypatch):
     rows.append((99, "".join(t for _, t in planted(3)[:40])))
     monkeypatch.setattr(sd, "BLOCK", 10)
     spans = sd.repeated_spans
-    monkeypatch.setattr(sd, "repeated_spans", lambda r: spans(r, filter_bits=8, entries_per_range=20))
+    monkeypatch.setattr(sd, "repeated_spans", lambda r: spans(r, bits=8, entries_per_range=20))
     got = sd.remove_repeats(docs(*rows)).collect()
     assert sorted(tuple(r)[:4] for r in got) == brute(rows)
     parts = list(sd.segments([b"a" * 1000, b"b" * 199, b"c" * 200], size=300))
@@ -89,7 +89,7 @@ def test_loser_tree_merges_with_right_prefixes():
     for _ in range(7):
         strings = sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 40)))
         every += strings
-        runs.append(sd.decoded(sd.front_coded([(s, b"", [(0, 0)]) for s in strings])))
+        runs.append(sd.decoded(sd.front_coded([(s, b"", [0, 0]) for s in strings])))
     got = list(sd.merged(runs))
     assert [e[1] for _, e in got] == sorted(every)
     assert all(h == sd.common(a[1], b[1]) for (_, a), (h, b) in zip(got, got[1:]))

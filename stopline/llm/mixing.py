@@ -5,31 +5,33 @@ time: the words of its source up to and including it, earlier epochs counted, di
 source's target. All copies are ordered by virtual finish time and taken while the total stays
 within the budget, so every source advances towards its target at the same relative pace.
 
-No source is ever in one task: running totals are windows over hash buckets of bounded expected
-size plus prefix sums over bucket totals. The place where the budget ends is found by narrowing a
-histogram of fixed width, not by a global sort.
+Both orders are range sorts over the cluster: rows by source and shuffled place, then all copies by
+virtual finish time. Range partitions hold like numbers of rows however the sources are sized, so no
+source is ever in one task. A window sums inside each partition, the totals of earlier partitions are
+carried in, and the sorted copies are cut where the running total passes the budget.
 
 Defined results: a null text has size 0; a null source is a source of its own, ordered last; a
 document of size 0 is never taken and changes nothing. Rows that repeat an id and its text share
 their place in the order and are taken or left together. An empty table gives an empty result.
+Columns of any name pass through ``take``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopline.llm.common import WORD, stage, text_of
+from stopline.llm.common import WORD, stage, text_of, tidy
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
-BUCKET_ROWS = 20_000
-BINS = 1024
+PART_ROWS = 20_000
+MOST_PARTS = 50_000
+FEW_ROWS = 2_000_000
 
 
 def words_in(column: str = "text") -> Column:
@@ -77,63 +79,54 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float =
     return ranked.select("source", "source_size", F.least(fair, cap).alias("target"))
 
 
-def _placed(slim: DataFrame, goals: DataFrame, bucket_rows: int) -> DataFrame:
+def _sorted(rows: DataFrame, key: list[str], n: int, part_rows: int, name: str) -> DataFrame:
+    """The rows in range partitions by the key, with the partition's number ``pid``; stored, so that a
+    lost executor cannot deal them out again."""
+    parts = max(1, min(MOST_PARTS, -(-n // part_rows)))
+    return stage(rows.repartitionByRange(parts, *key).withColumn("pid", F.spark_partition_id()), name)
+
+
+def _carried(dealt: DataFrame, by: list[str]) -> DataFrame:
+    """Per partition (and value of ``by`` in it) the words in all earlier partitions: one row per partition
+    at most, and one more for each border between two values."""
+    earlier = Window.partitionBy(*by).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*by, "pid").agg(F.sum("size").alias("words"))
+    names = [F.col(c).alias(f"_{c}") for c in [*by, "pid"]]
+    return totals.select(*names, F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("carry"))
+
+
+def _placed(slim: DataFrame, goals: DataFrame, part_rows: int) -> DataFrame:
     """Add the source's numbers and ``upto``: words of the source up to this row in shuffled order."""
-    rows = slim.count()
-    bits = max(0, math.ceil(math.log2(max(1, rows / bucket_rows))))
-    bucketed = slim.withColumn("bucket", F.shiftright("order", 64 - bits) if bits else F.lit(0).cast("long"))
-    inside = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size")
-    within = bucketed.withColumn("within", F.sum("size").over(inside.rangeBetween(Window.unboundedPreceding, 0)))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = bucketed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    carried = totals.select(
-        F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("carry")
-    )
+    place = ["order", "doc_id", "size"]
+    dealt = _sorted(slim, ["source", *place], slim.count(), part_rows, "mix-shuffled")
+    inside = Window.partitionBy("pid", "source").orderBy(*place).rangeBetween(Window.unboundedPreceding, 0)
+    within = dealt.withColumn("within", F.sum("size").over(inside))
+    carried = _carried(dealt, ["source"])
     goal = goals.withColumnRenamed("source", "_g")
     return (
-        within.join(carried, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+        within.join(carried, F.col("source").eqNullSafe(F.col("_source")) & (F.col("pid") == F.col("_pid")))
         .join(goal, F.col("source").eqNullSafe(F.col("_g")))
         .withColumn("upto", F.col("within") + F.col("carry"))
-        .drop("_s", "_b", "_g", "within", "carry", "bucket")
+        .drop("_source", "_pid", "_g", "within", "carry", "pid")
     )
 
 
-def _cut(copies: DataFrame, budget: float, bins: int, bin_rows: int) -> tuple | None:
-    """The last copy taken as (finish, order, doc_id, epoch), or None if nothing fits.
+COPY = ["finish", "order", "doc_id", "epoch"]
 
-    A histogram over [low, high) finds the bin where the running total passes the budget; that bin
-    is the next range, until it holds few rows or one value."""
-    low, high, taken = copies.agg(F.min("finish"), F.max("finish")).first() + (0,)
-    if low is None:
-        return None
-    while True:
-        here = copies.filter(F.col("finish").between(low, high))
-        width = (high - low) / bins
-        slot = F.least(F.floor((F.col("finish") - low) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
-        found = sorted(
-            here.groupBy(slot.alias("slot"))
-            .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.min("finish").alias("a"), F.max("finish").alias("b"))
-            .collect()
-        )
-        for _, words, n, first, last in found:
-            if taken + words > budget:
-                break
-            taken += words
-        else:
-            first, last, n = found[-1][3], found[-1][4], 0
-            taken -= found[-1][1]
-        if n <= bin_rows or (first, last) == (low, high) or first == last:
-            break
-        low, high = first, last
-    key = ["finish", "order", "doc_id", "epoch"]
-    running = F.sum("size").over(Window.orderBy(*key).rangeBetween(Window.unboundedPreceding, 0))
-    inside = copies.filter(F.col("finish").between(first, last)).withColumn("total", running + taken)
-    best = inside.filter(F.col("total") <= budget).agg(F.max(F.struct(*key))).first()[0]
-    if best is None:
-        best = copies.filter(F.col("finish") < first).agg(F.max(F.struct(*key))).first()[0]
+
+def _cut(copies: DataFrame, budget: float, part_rows: int) -> tuple | None:
+    """The last copy taken as (finish, order, doc_id, epoch), or None if nothing fits: all copies sorted
+    by virtual finish time, summed up and cut at the budget. One row comes to the driver."""
+    dealt = _sorted(copies, COPY, copies.count(), part_rows, "mix-sorted")
+    carried = _carried(dealt, [])
+    inside = Window.partitionBy("pid").orderBy(*COPY).rangeBetween(Window.unboundedPreceding, 0)
+    total = F.sum("size").over(inside) + F.col("carry")
+    running = dealt.join(carried.filter(F.col("carry") <= budget), F.col("pid") == F.col("_pid")).withColumn("total", total)
+    best = running.filter(F.col("total") <= budget).agg(F.max(F.struct(*COPY))).first()[0]
     return None if best is None else tuple(best)
 
 
+@tidy
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -143,20 +136,21 @@ def mix(
     share: float = SHARE,
     epochs: int = MOST_EPOCHS,
     seed: int = 42,
-    bucket_rows: int = BUCKET_ROWS,
-    bins: int = BINS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, ``copies`` (times the mix
-    takes it) and ``taken`` (words it takes). Runs agree: the order is a hash of id and seed."""
+    takes it), ``taken`` (words it takes) and ``row_key``, a hash of the row's id, source and text.
+    Runs agree: the order is a hash of id and seed."""
     slim = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         words_in(text_col).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col)).alias("order"),
+        row_key(id_col, text_col, source_col).alias("row_key"),
     )
     slim = stage(slim, "mix-sizes")
     goals = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs)
-    placed = stage(_placed(slim, goals, bucket_rows), "mix-placed")
+    placed = stage(_placed(slim, goals, part_rows), "mix-placed")
     finish = [((F.col("upto") + F.col("source_size") * e) / F.col("target")) for e in range(epochs)]
     able = (F.col("size") > 0) & (F.col("target") > 0)
     copy = F.array(*[F.struct(f.alias("finish"), F.lit(e).alias("epoch")) for e, f in enumerate(finish)])
@@ -164,7 +158,7 @@ def mix(
         "doc_id", "order", "size", "c.finish", "c.epoch"
     )
     budget = goals.agg(F.sum("target")).first()[0] or 0.0
-    cut = _cut(copies, budget, bins, bucket_rows)
+    cut = _cut(copies, budget, part_rows)
     count = F.lit(0)
     if cut is not None:
         limit = F.struct(
@@ -175,12 +169,25 @@ def mix(
             mine = F.struct(f.alias("finish"), F.col("order"), F.col("doc_id"), F.lit(e).alias("epoch"))
             count = count + F.when(able & (mine <= limit), 1).otherwise(0)
     return placed.withColumn("copies", count).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), "row_key"
     )
 
 
-def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The input rows as often as the mix takes them. ``mixed`` comes from ``mix`` on the same rows."""
-    times = mixed.filter("copies > 0").select(F.col("doc_id").alias("_m_id"), F.col("copies").alias("_m_copies")).distinct()
-    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_m_id")))
-    return joined.withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.col("_m_copies")))).select(*docs.columns)
+def row_key(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Column:
+    """Rows with the same key are taken as often as each other."""
+    return F.xxhash64(F.col(id_col), F.col(source_col), text_of(text_col))
+
+
+def take(
+    docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The input rows as often as the mix takes them. ``mixed`` comes from ``mix`` on the same rows.
+
+    While the rows taken are at most ``FEW_ROWS`` their numbers are broadcast and texts stay where they are;
+    beyond that both sides are shuffled by id."""
+    times = stage(mixed.filter("copies > 0").select("doc_id", "row_key", "copies").distinct(), "mix-taken")
+    times = F.broadcast(times) if times.count() <= FEW_ROWS else times
+    key = row_key(id_col, text_col, source_col)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), key.alias("key"))
+    joined = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("row_key")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

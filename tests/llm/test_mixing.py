@@ -47,7 +47,7 @@ def test_targets_and_taken_words(docs):
 def test_small_buckets_and_bins_give_the_same_mix(docs):
     rows = rows_for(2)
     one = sorted(map(tuple, mixing.mix(docs(*rows)).collect()))
-    assert one == sorted(map(tuple, mixing.mix(docs(*rows), bucket_rows=16, bins=4).collect()))
+    assert one == sorted(map(tuple, mixing.mix(docs(*rows), part_rows=16).collect()))
 
 
 def test_order_follows_virtual_finish_times(docs):
@@ -83,3 +83,28 @@ def test_edges(docs):
     assert len(mixed.collect()) == 3
     assert mixing.take(df, mixed).columns == df.columns
     assert mixing.take(df, mixed).count() == sum(r.copies for r in mixed.collect())
+
+
+def test_any_column_names_and_rows_that_share_an_id(spark):
+    rows = [("a", "w " * 9, "s", "x"), ("a", "w " * 4, "s", "y"), ("a", "w " * 4, "s", "y"), ("b", None, None, "z"), (None, "w w", "t", "q")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, _m_copies string")
+    df = df.selectExpr("*", "'v' as _m_copy", "1 as row", "2 as key", "3 as id", "4 as copies", "5 as row_key", "'m' as `a.b`")
+    mixed = mixing.mix(df)
+    taken = mixing.take(df, mixed).collect()
+    want = {}
+    for r in mixed.collect():
+        want[r.doc_id, r.size] = r.copies
+    got = {}
+    for r in taken:
+        assert r["_m_copy"] == "v" and r["a.b"] == "m"
+        size = len((r.text or "").split())
+        got[r.doc_id, size] = got.get((r.doc_id, size), 0) + 1
+    times = {("a", 4): 2}
+    assert got == {k: n * times.get(k, 1) for k, n in want.items() if n}
+
+
+def test_a_hot_source_is_dealt_over_many_partitions(docs):
+    rows = [(k, "w " * (k % 7), "hot" if k % 3 else f"s{k % 5}") for k in range(900)]
+    df = docs(*rows)
+    one = {(r.doc_id, r.copies) for r in mixing.mix(df).collect()}
+    assert one == {(r.doc_id, r.copies) for r in mixing.mix(df, part_rows=10).collect()}

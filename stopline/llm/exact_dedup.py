@@ -1,15 +1,17 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash.
 
-The first pass reads each text's normalised length and the hash of its first characters. Only keys
-that occur twice survive, and they become a bit filter of fixed size. The second pass takes the full
-hash of texts whose key may have survived; every other text is certainly unique and is neither
-hashed nor grouped. Groups are counted with map-side partial aggregates, so a group with a third
-of all rows is one row per task before it is shuffled.
+One pass reads each text's normalised length and the hash of its first characters. Lengths that occur
+twice become a bit filter, sized by their number; of the texts it lets through, prefix hashes that occur
+twice with their length become another. The last pass takes the full hash of texts that both may hold;
+every other text is certainly unique and is neither hashed nor grouped. Groups are counted with map-side
+partial aggregates, and large groups are dealt out in slices when their rows learn the result, so a
+group with a third of all rows is never in one task.
 
 Defined results: a null text equals the empty text. Rows that repeat a document id and its text
 belong to the group of that text and count in its size; in ``mark`` all rows that carry the
-smallest id are kept, in ``deduplicate`` exactly one row stays. A null id sorts after all others.
-Other columns pass through unread; columns whose names start with ``_x_`` are reserved.
+smallest id are kept, in ``deduplicate`` exactly one row stays: of rows that share the smallest id, the
+one whose other columns have the smallest hash. A null id sorts after all others. Ids are of any
+type that has an order, other columns of any type and name.
 """
 
 from __future__ import annotations
@@ -17,10 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import WHITE, bit_filter, stage, text_of, with_candidate
+from stopline.llm.common import WHITE, bit_filter, filter_bits, salted_join, stage, text_of, tidy, with_candidate
 
 PREFIX_CHARS = 64
-FILTER_BITS = 22
 
 
 def normalised(column: str = "text") -> Column:
@@ -28,82 +29,71 @@ def normalised(column: str = "text") -> Column:
     return F.regexp_replace(text_of(column), WHITE, " ")
 
 
-def _keyed(docs: DataFrame, text_col: str, prefix_chars: int) -> DataFrame:
-    """Length and prefix hash of the normalised text, and one long that stands for both."""
-    keyed = docs.withColumn("_x_norm", normalised(text_col)).withColumns(
-        {"_x_length": F.length("_x_norm"), "_x_prefix": F.xxhash64(F.substring("_x_norm", 1, prefix_chars))}
-    )
-    return keyed.withColumn("_x_key", F.xxhash64("_x_length", "_x_prefix"))
+def _twice(rows: DataFrame, key: str, bits: int | None) -> tuple[DataFrame, int]:
+    """A bit filter of the values of ``key`` that occur twice, stored, and its bits."""
+    repeated = stage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "dedup-keys")
+    bits = bits or filter_bits(repeated.count())
+    return stage(bit_filter(repeated, key, bits), "dedup-filter"), bits
 
 
-def _candidates(docs: DataFrame, text_col: str, prefix_chars: int, filter_bits: int) -> DataFrame:
-    """The documents with their keys and ``_x_maybe``: whether length and prefix may occur twice."""
-    keyed = _keyed(docs, text_col, prefix_chars)
-    slim = stage(keyed.select("_x_length", "_x_prefix", "_x_key"), "dedup-keys")
-    lengths = slim.groupBy("_x_length", "_x_prefix", "_x_key").agg(F.count(F.lit(1)).alias("_x_n"))
-    survivors = lengths.filter("_x_n > 1")
-    words = stage(bit_filter(survivors, "_x_key", filter_bits), "dedup-filter")
-    return with_candidate(keyed, "_x_key", words, filter_bits, "_x_maybe")
+def _candidates(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, bits: int | None) -> DataFrame:
+    """(row, id, norm, maybe): each input row and whether its length and prefix may occur twice."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), normalised(text_col).alias("norm"))
+    length = F.xxhash64(F.length("norm"))
+    prefix = F.xxhash64(F.length("norm"), F.substring("norm", 1, prefix_chars))
+    slim = stage(rows.select(length.alias("length"), prefix.alias("prefix")), "dedup-slim")
+    lengths, n = _twice(slim, "length", bits)
+    near = with_candidate(slim, "length", lengths, n, "may").filter("may")
+    prefixes, n = _twice(near, "prefix", bits)
+    return with_candidate(rows.withColumn("prefix", prefix), "prefix", prefixes, n, "maybe").drop("prefix")
 
 
+@tidy
 def mark(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     prefix_chars: int = PREFIX_CHARS,
-    filter_bits: int = FILTER_BITS,
+    bits: int | None = None,
     digest: bool = False,
 ) -> DataFrame:
     """One row per input row: its id, ``keep_id``, ``group_size``, ``kept``; texts are not carried.
 
     With ``digest`` also ``text_sha256`` of every normalised text, unique ones included."""
-    full = F.sha2("_x_norm", 256)
-    rows = _candidates(docs, text_col, prefix_chars, filter_bits).select(
-        F.col(id_col).alias("_x_id"),
-        "_x_maybe",
-        F.when(F.col("_x_maybe"), F.struct("_x_length", "_x_prefix", full.alias("_x_full"))).alias("_x_group"),
-        *([full.alias("text_sha256")] if digest else []),
+    full = F.sha2("norm", 256)
+    rows = _candidates(docs, id_col, text_col, prefix_chars, bits).select(
+        "id", F.when(F.col("maybe"), full).alias("hash"), *([full.alias("text_sha256")] if digest else [])
     )
     rows = stage(rows, "dedup-rows")
-    # count(id) and count(*) tell null ids apart, so that min never hides them
-    groups = rows.filter("_x_maybe").groupBy("_x_group").agg(
-        F.min("_x_id").alias("_x_keep"), F.count(F.lit(1)).alias("_x_size")
-    )
-    repeated = groups.filter("_x_size > 1")
-    joined = rows.filter("_x_maybe").join(repeated, "_x_group", "left")
-    alone = rows.filter("not _x_maybe").withColumns(
-        {"_x_keep": F.lit(None).cast("long"), "_x_size": F.lit(None).cast("long")}
-    )
-    extra = ["text_sha256"] if digest else []
-    out = joined.unionByName(alone)
-    keep = F.coalesce("_x_keep", "_x_id")
-    return out.select(
-        F.col("_x_id").alias(id_col),
+    maybe = rows.filter("hash IS NOT NULL")
+    # the count tells groups of null ids apart from groups without rows, so min never hides them
+    groups = maybe.groupBy("hash").agg(F.min("id").alias("keep"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    joined = salted_join(maybe, stage(groups, "dedup-groups"), "hash", "left")
+    kind = rows.schema["id"].dataType
+    alone = rows.filter("hash IS NULL").withColumns({"keep": F.lit(None).cast(kind), "size": F.lit(None).cast("long")})
+    keep = F.coalesce("keep", "id")
+    return joined.unionByName(alone).select(
+        F.col("id").alias(id_col),
         keep.alias("keep_id"),
-        F.coalesce("_x_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("_x_id").eqNullSafe(keep).alias("kept"),
-        *extra,
+        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+        F.col("id").eqNullSafe(keep).alias("kept"),
+        *(["text_sha256"] if digest else []),
     )
 
 
+@tidy
 def deduplicate(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     prefix_chars: int = PREFIX_CHARS,
-    filter_bits: int = FILTER_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """The input rows without their exact duplicates: of each group the row with the smallest id.
 
     Texts that are certainly unique pass without a shuffle; the others are combined map-side."""
-    columns = docs.columns
-    rows = _candidates(docs, text_col, prefix_chars, filter_bits)
-    unique = rows.filter("not _x_maybe").select(*columns)
-    row = F.struct(*[F.col(c) for c in columns])
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), row)
-    picked = (
-        rows.filter("_x_maybe")
-        .groupBy("_x_length", "_x_prefix", F.sha2("_x_norm", 256).alias("_x_full"))
-        .agg(F.min_by(row, order).alias("_x_row"))
-    )
-    return unique.unionByName(picked.select("_x_row.*"))
+    rows = _candidates(docs, id_col, text_col, prefix_chars, bits)
+    others = F.xxhash64(F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"row.`{c}`") for c in docs.columns if c != id_col])))
+    order = F.struct(F.col("id").isNull(), F.col("id"), others)
+    picked = rows.filter("maybe").groupBy(F.sha2("norm", 256)).agg(F.min_by("row", order).alias("row"))
+    return rows.filter("not maybe").select("row.*").unionByName(picked.select("row.*"))

@@ -31,7 +31,7 @@ def test_marks_equal_brute_force(docs):
 
 
 def test_a_saturated_filter_changes_nothing(docs):
-    got = exact_dedup.mark(docs(*ROWS), digest=True, filter_bits=6, prefix_chars=1).collect()
+    got = exact_dedup.mark(docs(*ROWS), digest=True, bits=6, prefix_chars=1).collect()
     assert sorted(map(tuple, got)) == brute(ROWS)
 
 
@@ -49,3 +49,21 @@ def test_null_ids_and_empty_table(docs):
     )
     assert exact_dedup.mark(docs((1, "a")).filter("false")).collect() == []
     assert exact_dedup.deduplicate(docs((1, "a")).filter("false")).collect() == []
+
+
+def test_any_id_any_column_any_name(spark):
+    rows = [("b", "x y", {"k": 1}, "kept"), ("a", "x  y", {"k": 2}, "kept"), ("a", "x  y", {"k": 3}, "kept"), (None, "z", None, None), ("c", "w" * 70, {}, "")]
+    df = spark.createDataFrame(rows, "id string, text string, m map<string, int>, _x_norm string").selectExpr("*", "'r' as row", "1 as hash", "2 as maybe")
+    got = {(r.id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.mark(df, "id").collect()}
+    assert got == {("b", "a", 3, False), ("a", "a", 3, True), (None, None, 1, True), ("c", "c", 1, True)}
+    for _ in range(2):
+        kept = exact_dedup.deduplicate(df, "id").collect()
+        assert kept[0].asDict().keys() == {*df.columns} and sorted(str(r.id) for r in kept) == ["None", "a", "c"]
+        assert {r["_x_norm"] for r in kept} == {"kept", None, ""}
+    assert [r.m for r in kept if r.id == "a"] == [r.m for r in exact_dedup.deduplicate(df.repartition(5), "id").collect() if r.id == "a"]
+
+
+def test_a_large_group_is_dealt_out(docs, monkeypatch):
+    rows = [(k, "same text" if k % 3 else f"own text {k}") for k in range(3000)]
+    got = exact_dedup.mark(docs(*rows), digest=True).collect()
+    assert sorted(map(tuple, got)) == brute(rows)

@@ -31,11 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import bit_filter, stage, text_of, with_candidate
+from stopline.llm.common import bit_filter, filter_bits, salted_join, stage, text_of, tidy, with_candidate
 from stopline.llm.vocabulary import Bounded
 
 SHINGLE = 4
 PERCENT = 85
+LEAST_PERCENT = 50
 SLOT_BITS = 20
 SLOT_BLOCK = 4096
 STAR_ROUNDS = 3
@@ -43,7 +44,6 @@ BLOCK = 256
 MINI = 16
 MINI_SHARED = 8
 LEAF = 8
-FILTER_BITS = 24
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FINAL = np.uint64(0xD6E8FEB86659FD93)
 
@@ -291,8 +291,9 @@ def whole_sets(rows: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) ->
     """(sig, tokens) of the signatures in the pairs: one document of each is read again."""
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
     wanted = stage(wanted.join(ids, "sig").select("sig", F.xxhash64("first_id").alias("key")), "join-wanted")
-    words = stage(bit_filter(wanted, "key", 22), "join-wanted-filter")
-    few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, 22, "may").filter("may").select("text")
+    bits = filter_bits(wanted.count())
+    words = stage(bit_filter(wanted, "key", bits), "join-wanted-filter")
+    few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, bits, "may").filter("may").select("text")
     found = few.mapInArrow(_sets(size), "sig long, tokens binary").join(wanted.select("sig"), "sig", "left_semi")
     return stage(found.groupBy("sig").agg(F.first("tokens").alias("tokens")), "join-sets")
 
@@ -308,22 +309,27 @@ def _verified(percent: int):
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of signatures whose whole sets link."""
+    """The pairs (a, b) of signatures whose whole sets link; a set in many pairs is sent to many tasks."""
     one = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
+    first = salted_join(pairs, one, "a")
+    return salted_join(pairs, two, "b").join(first, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable over (a, b) edges; labels spread and then jump."""
+    """(node, label): the smallest node reachable over (a, b) edges; labels spread and then jump.
+
+    Nodes with many neighbours, and labels that many nodes carry, are dealt out in slices."""
     both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "join-edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "join-labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
+        near = salted_join(both, labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
         near = near.agg(F.min("label").alias("near"))
         spread = labels.join(near, "node").select("node", F.least("label", "near").alias("next"), F.col("label").alias("old"))
+        spread = stage(spread, "join-spread")
         jump = spread.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        new = stage(spread.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("label"), "old"), "join-labels")
+        far = F.least("next", F.coalesce("far", "next")).alias("label")
+        new = stage(salted_join(spread, jump, "next", "left").select("node", far, "old"), "join-labels")
         if new.filter("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")
@@ -393,6 +399,7 @@ def _units(rows: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
     return joined.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+@tidy
 def components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -403,6 +410,8 @@ def components(
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100: below, sets of very unlike sizes can link")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -416,8 +425,9 @@ def components(
     postings = filled.select("sig", F.explode("keys").alias("key"))
     shared = postings.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).filter("lo <> hi").select("key")
     shared = stage(shared, "join-keys")
-    words = stage(bit_filter(shared, "key", FILTER_BITS), "join-filter")
-    may = with_candidate(postings, "key", words, FILTER_BITS, "may").filter("may").select("sig", "key").distinct()
+    bits = filter_bits(shared.count())
+    words = stage(bit_filter(shared, "key", bits), "join-filter")
+    may = with_candidate(postings, "key", words, bits, "may").filter("may").select("sig", "key").distinct()
     members = stage(may.join(shared, "key"), "join-members")
     ids = stage(filled.groupBy("sig").agg(F.min("doc_id").alias("first_id")), "join-ids")
     of_sig = [F.first(c).alias(c) for c in ("n", "mini", "map")]
@@ -444,4 +454,4 @@ def components(
 def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows whose id is the smallest of their component. ``found`` comes from ``components``."""
     others = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(others, id_col, "left_anti").select(*docs.columns)
+    return docs.join(others, id_col, "left_anti").select(*[docs[c] for c in docs.columns])

@@ -90,3 +90,25 @@ def test_the_trees_bound_never_hides_a_link():
     found = set(jj.candidates(root, root))
     links = {(a, b) for b in range(len(sets)) for a in range(b) if jj.linked(sets[a], sets[b])}
     assert links <= found and len(found) < len(sets) ** 2 / 4
+
+
+def test_small_percentages_are_refused(docs):
+    with pytest.raises(ValueError, match="percent"):
+        jj.components(docs((1, "a b c d")), percent=40)
+
+
+def test_very_long_texts_link(docs):
+    words = [f"w{k}" for k in range(60_000)]
+    changed = list(words)
+    for k in range(0, 60_000, 200):
+        changed[k] = "x"
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(reversed(words))), (4, " ".join(words[:100]))]
+    got = {r.doc_id: r.component_id for r in jj.components(docs(*rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_a_star_of_many_nodes_has_one_label(spark):
+    edges = [(5, k) for k in range(100, 3000)] + [(4, 2999), (9000, 9001)]
+    found = jj.smallest_reachable(spark.createDataFrame(edges, "a long, b long")).collect()
+    want = {k: 4 for k in [4, 5, *range(100, 3000)]} | {9000: 9000, 9001: 9000}
+    assert {r.node: r.label for r in found} == want

@@ -116,3 +116,38 @@ def test_only_copies_collapse_and_texts_that_share_a_passage_all_count(spark, do
     labels = spark.createDataFrame([(i, 0) for i, _ in rows], "doc_id long, toxic int")
     kept = toxicity.training_texts(docs(*rows), labels, "doc_id", "text", "toxic")
     assert sorted(r.doc_id for r in kept.collect()) == ids[:101]
+
+
+def test_cues_beyond_the_broadcast_limit_give_the_same_scores(spark, docs, monkeypatch):
+    rows = written(300)
+    one = learnt(spark, docs, rows)
+    monkeypatch.setattr(toxicity, "MODEL_BYTES", 0)
+    two = learnt(spark, docs, rows)
+    assert two.table is not None and np.array_equal(one.curve, two.curve)
+    some = docs(*[r[:2] for r in rows], (9000, None), (9001, ""), (1, rows[1][1]))
+    got = [sorted((r.doc_id, round(r.score, 12)) for r in toxicity.score(some, m).collect()) for m in (one, two)]
+    assert got[0] == got[1]
+    assert sorted(toxicity.reject(some, two, 0.7).collect()) == sorted(toxicity.reject(some, one, 0.7).collect())
+    assert sorted(toxicity.offending(some, two).collect()) == sorted(toxicity.offending(some, one).collect())
+
+
+def test_score_equals_the_sum_over_all_state_sequences(spark, docs):
+    """The whole score by enumeration: token odds from the cues, marginals, expected count, curve."""
+    rows = written(300)
+    model = learnt(spark, docs, rows)
+    texts = [" ".join(t.split()[:8]) for _, t, _ in rows[:40]] + [f"x {SLURS[0]}, {SLURS[1]}-y Z{SLURS[2].upper()}"]
+    got = {r.doc_id: r.score for r in toxicity.score(docs(*enumerate(texts)), model).collect()}
+    for k, text in enumerate(texts):
+        odds = []
+        for word in toxicity.TOKEN.findall(text.lower()):
+            whole, *parts = (model.strength.get(t, 0.0) for t in toxicity.traits(word))
+            names = toxicity.traits(word)[1:]
+            best = [max([p for p, t in zip(parts, names) if t[1] == side], default=0.0) for side in "<>"]
+            odds.append(float(model.weights @ np.array([1.0, whole, *best])))
+        total, expected = 0.0, 0.0
+        for y in itertools.product((0, 1), repeat=len(odds)):
+            weight = np.exp(np.dot(odds, y) + sum(model.moves[p, q] for p, q in zip(y, y[1:])))
+            total += weight
+            expected += weight * sum(y)
+        want = 1 / (1 + np.exp(-(model.curve @ np.array([1.0, np.log1p(expected / total)]))))
+        assert abs(got[k] - want) < 1e-9

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import stage, text_of
+from stopline.llm.common import stage, text_of, tidy
 from stopline.llm.packing import BYTE_LETTERS
 from stopline.llm.vocabulary import BYTE_PATTERN, tokenizer_path
 
@@ -217,6 +217,7 @@ def table_floor(counted: DataFrame, entries: int) -> int:
     return floor
 
 
+@tidy
 def align(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -1,6 +1,6 @@
 """Language identification by language-bitmask n-gram filters.
 
-Two hashed tables hold one machine word per slot, one bit per language: a bit-sliced Bloom filter
+Two hashed tables hold one bit per language in each slot: a bit-sliced Bloom filter
 over byte n-grams. The bitwise and of an n-gram's two words gives all languages that contain it. A
 document's n-grams are looked up, the bits of each language are counted, and each count is
 corrected for the false positives that the filter's fill makes likely; the largest share decides.
@@ -12,7 +12,7 @@ from all training texts: every task adds up fixed-size tables, and blocks of the
 Defined results: a null text and one without a letter give ``und`` with score 0. Texts shorter than
 an n-gram are padded with spaces. Ties go to the language first by code point. With nothing to
 learn from, every text with a letter gives ``und``. Repeated rows are counted and answered each on
-its own. At most 64 languages fit one machine word; more is an error. Whole texts are read.
+its own. A slot has one machine word for every 64 languages. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ BLOCK = 4096
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]")
 # odd multipliers, one per table; n-gram lengths differ by an added constant
 MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77))
-STEP = np.uint32(0xC2B2AE3D)
+STEPS = {n: np.uint32(n * 0xC2B2AE3D & 0xFFFFFFFF) for n in GRAMS}
+WORD = 64
 
 # ASCII other than letters separates words; one byte per byte, so offsets stay
 FOLD = np.arange(256, dtype=np.uint8)
@@ -63,7 +64,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             key |= data[k : last + k] << np.uint32(8 * k)
         # inside one text, and not three spaces: those stand between words of any language
         real = (owner[:last] == owner[n - 1 :]) & (key & np.uint32(0xFFFFFF) != np.uint32(0x202020))
-        keys.append(key[real] + np.uint32(n) * STEP)
+        keys.append(key[real] + STEPS[n])
         owners.append(owner[:last][real])
     if not keys:
         return np.zeros(0, np.uint32), np.zeros(0, np.int32)
@@ -126,22 +127,24 @@ def _summed(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Filter:
-    """Bit-sliced tables: ``words[k][slot]`` has bit i if language i contains an n-gram of that slot."""
+    """Bit-sliced tables: ``words[i // 64][k][slot]`` has bit i % 64 if language i contains an n-gram of that slot."""
 
     langs: list[str]
     words: np.ndarray
     false_rate: np.ndarray
     bits: int
 
-    def masks(self, keys: np.ndarray) -> np.ndarray:
-        return self.words[0][slots(keys, 0, self.bits)] & self.words[1][slots(keys, 1, self.bits)]
+    def masks(self, keys: np.ndarray) -> list[np.ndarray]:
+        one, two = (slots(keys, k, self.bits) for k in range(2))
+        return [word[0][one] & word[1][two] for word in self.words]
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """Corrected share of each text's n-grams that each language contains."""
         keys, owner = grams(texts)
         masks = self.masks(keys)
         n = np.maximum(np.bincount(owner, minlength=len(texts)), 1)
-        hits = [np.bincount(owner[(masks >> np.uint64(i)) & np.uint64(1) == 1], minlength=len(texts)) for i in range(len(self.langs))]
+        has = lambda i: masks[i // WORD] >> np.uint64(i % WORD) & np.uint64(1) == 1
+        hits = [np.bincount(owner[has(i)], minlength=len(texts)) for i in range(len(self.langs))]
         share = np.array(hits).T / n[:, None]
         return np.clip((share - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1)
 
@@ -157,17 +160,15 @@ def learn(
     for r in summed.toLocalIterator():
         table = counts.setdefault(r.lang, np.zeros((2, 1 << bits)))
         table[r.part, r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.counts, np.int64)
-        if len(counts) > 64:
-            raise ValueError("more than 64 languages do not fit one machine word")
     langs = sorted(counts)
-    words = np.zeros((2, 1 << bits), np.uint64)
+    words = np.zeros((-(-len(langs) // WORD), 2, 1 << bits), np.uint64)
     false_rate = np.zeros(len(langs))
     if langs:
         rates = np.array([counts[x] / max(counts[x][0].sum(), 1) for x in langs])
         best = rates.max(axis=0)
         for i, rate in enumerate(rates):
             member = (rate > 0) & (rate >= keep * best)
-            words |= member.astype(np.uint64) << np.uint64(i)
+            words[i // WORD] |= member.astype(np.uint64) << np.uint64(i % WORD)
             false_rate[i] = member[0].mean() * member[1].mean()
     return Filter(langs, words, false_rate, bits)
 

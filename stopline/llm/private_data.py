@@ -1,15 +1,17 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of what gives them away.
 
-The patterns find protected entities. A term near an entity's mention discloses it if knowing the
-term removes most of the uncertainty about the entity: with counts over all different texts, the term's
-pointwise mutual information with the entity is at least ``alpha`` times the entity's own
-information. Support is counted over different contexts, so copies of one passage say nothing;
-copies of a text count as one everywhere, so they neither add to nor take from what a term tells.
-Such terms are marked wherever they occur; ``sanitise`` generalises or removes all marks.
-
-Co-occurring pairs come from short windows around mentions only. How often a term occurs in the
-corpus is counted for terms in those pairs alone: a bit filter of fixed size tells the scan which
-words may be needed, and a join settles it exactly. A second one tells which texts may have copies;
+The patterns find protected entities. A term that stands in the same texts as an entity, near its
+mention or far from it, discloses it if knowing the term removes most of the uncertainty about the entity:
+with counts over all different texts, the term's pointwise mutual information with the entity is at least
+``alpha`` times the entity's own information. Support is counted over different contexts of the
+mentions, so copies of one passage say nothing; copies of a text count as one everywhere, so they
+neither add to nor take from what a term tells. Such terms are marked wherever they occur; ``sanitise``
+generalises or removes all marks.
+
+A first pass finds mentions. Entities with too few different contexts can have no disclosing term; the
+texts of all others are read again whole for their terms. How often a term occurs in the
+corpus is counted for terms in supported pairs alone: a bit filter sized by their number tells the scan
+which words may be needed, and a join settles it exactly. A second one tells which texts may have copies;
 only those send their terms with the text's hash, to be counted once. Nothing that grows with the
 corpus is broadcast or sent to the driver.
 
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import bit_filter, stage, text_of
+from stopline.llm.common import bit_filter, filter_bits, stage, text_of, tidy
 from stopline.llm.vocabulary import Bounded
 
 KINDS = ("email", "ip", "card", "phone")
@@ -40,7 +42,6 @@ WINDOW_TERMS = 6
 REACH = 400
 MIN_SUPPORT = 3
 ALPHA = 0.8
-FILTER_BITS = 22
 ROOM = 200_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -125,19 +126,67 @@ def _inside(span: tuple[int, int], taken: list[tuple[int, int]]) -> bool:
     return any(a < span[1] and span[0] < b for a, b in taken)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entity, context, text and the terms around, for every mention."""
     for batch in batches:
-        out = set()
+        out = {}
         for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
             for name, context, terms in contexts(text, base_spans(text)):
-                out.update((name, key_of(t), context, key) for t in terms)
-                if not terms:
-                    out.add((name, None, context, key))
-        names, terms, seen, keys = zip(*out) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array(terms, pa.int64()), pa.array(seen, pa.int64()), pa.array(keys, pa.int64())],
-            names=["entity", "term", "context", "key"],
-        )
+                out[name, context, key] = sorted(map(key_of, terms))
+        names, seen, keys = zip(*out) if out else ((), (), ())
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        columns = [pa.array(c, k) for c, k in zip((names, seen, keys, list(out.values())), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["entity", "context", "key", "near"])
+
+
+def whole_terms(text: str) -> set[str]:
+    """All terms of a text outside its base spans."""
+    parts, done = [], 0
+    for a, b in sorted((a, b) for _, a, b in base_spans(text)):
+        parts += [text[done : max(done, a)], " "]
+        done = max(done, b)
+    return {w.lower() for w in TERMS.findall("".join([*parts, text[done:]]))}
+
+
+def _terms(shared, bits: int):
+    """(key, term) of the texts that the bit filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            for text, key in zip(batch.column("text"), batch.column("key").to_pylist()):
+                if maybe(words, bits, key):
+                    terms = [key_of(t) for t in whole_terms(text.as_py())]
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(terms), pa.int64()), pa.array(terms, pa.int64())], names=["key", "term"])
+
+    return run
+
+
+def supported_pairs(texts: DataFrame, min_support: int) -> tuple[DataFrame, DataFrame] | None:
+    """(entity, term, together) of pairs with enough different contexts, and (entity, mentions).
+
+    A pair's contexts are those of mentions that the term stands near, or one for each text that holds
+    both, however far apart, where equal contexts count once."""
+    spark = texts.sparkSession
+    seen = texts.mapInArrow(_mentions, "entity string, context long, key long, near array<long>")
+    seen = stage(seen, "pii-mentions")
+    entities = seen.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("key").alias("mentions"))
+    entities = stage(entities.filter(F.col("contexts") >= min_support).select("entity", "mentions"), "pii-entities")
+    if entities.isEmpty():
+        return None
+    known = stage(seen.join(entities.select("entity"), "entity"), "pii-known")
+    beside = known.select("entity", "context", F.explode("near").alias("term")).groupBy("entity", "term")
+    beside = beside.agg(F.count_distinct("context").alias("beside"))
+    held = stage(known.groupBy("entity", "key").agg(F.min("context").alias("context")), "pii-held")
+    keys = held.select("key").distinct()
+    bits = filter_bits(keys.count())
+    may = spark.sparkContext.broadcast(filter_words(keys, "key", bits))
+    terms = texts.mapInArrow(_terms(may, bits), "key long, term long").distinct()
+    both = held.join(terms, "key").groupBy("entity", "term")
+    both = both.agg(F.count_distinct("context").alias("far"), F.count_distinct("key").alias("together"))
+    enough = F.greatest("far", F.coalesce("beside", F.lit(0))) >= min_support
+    pairs = both.join(beside, ["entity", "term"], "left").filter(enough).select("entity", "term", "together")
+    return stage(pairs, "pii-pairs"), entities
 
 
 def filter_words(keys: DataFrame, key: str, bits: int) -> np.ndarray:
@@ -167,7 +216,7 @@ class _Wanted:
         return self.known[word]
 
 
-def _occurring(shared, copied, bits: int):
+def _occurring(shared, bits: int, copied, copied_bits: int):
     """Per batch: in how many texts each wanted term occurs. A text that may have copies gives its
     terms with its ``key``, every other text counts at once and without one."""
 
@@ -178,7 +227,7 @@ def _occurring(shared, copied, bits: int):
             for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
                 if key in done:
                     continue
-                name = key if maybe(copies, bits, key) else None
+                name = key if maybe(copies, copied_bits, key) else None
                 if name is not None:
                     if len(done) >= ROOM:
                         done.clear()
@@ -196,39 +245,35 @@ def _occurring(shared, copied, bits: int):
 
 
 def disclosing_terms(
-    docs: DataFrame, text_col: str = "text", alpha: float = ALPHA, min_support: int = MIN_SUPPORT, bits: int = FILTER_BITS
+    docs: DataFrame, text_col: str = "text", alpha: float = ALPHA, min_support: int = MIN_SUPPORT, bits: int | None = None
 ) -> DataFrame:
-    """Keys of the terms (``term``) that disclose some entity, with their counts and ``information``."""
+    """(entity, term, together, mentions, texts, information, mutual) of the terms that disclose an entity."""
     spark = docs.sparkSession
     texts = docs.select(text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("key"))
-    seen = texts.mapInArrow(_pairs, "entity string, term long, context long, key long").distinct()
-    seen = stage(seen, "pii-contexts")
-    near = seen.filter(F.col("term").isNotNull())
-    support = near.select("entity", "term", "context").distinct().groupBy("entity", "term").count()
-    support = support.filter(F.col("count") >= min_support).select("entity", "term")
-    both = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
-    pairs = stage(both.join(support, ["entity", "term"]), "pii-pairs")
-    entities = seen.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("mentions"))
-    words = filter_words(pairs.select("term").distinct(), "term", bits)
+    found = supported_pairs(texts, min_support)
+    kind = "entity string, term long, together long, mentions long, texts long, information double, mutual double"
+    if found is None or found[0].isEmpty():
+        return spark.createDataFrame([], kind)
+    pairs, entities = found
+    names = pairs.select("term").distinct()
+    n = bits or filter_bits(names.count())
+    wanted = spark.sparkContext.broadcast(filter_words(names, "term", n))
     different = stage(texts.groupBy("key").count(), "pii-texts")
-    total = different.count()
-    if not words.any():
-        counted = spark.createDataFrame([], "term long, key long, n long")
-    else:
-        copied = spark.sparkContext.broadcast(filter_words(different.filter("count > 1"), "key", bits))
-        wanted = spark.sparkContext.broadcast(words)
-        counted = texts.mapInArrow(_occurring(wanted, copied, bits), "term long, key long, n long")
-        # of a text that may have copies one row counts
-        counted = counted.groupBy("term", "key").agg(F.when(F.col("key").isNull(), F.sum("n")).otherwise(1).alias("n"))
+    repeated = different.filter("count > 1").select("key")
+    m = bits or filter_bits(repeated.count())
+    copied = spark.sparkContext.broadcast(filter_words(repeated, "key", m))
+    counted = texts.mapInArrow(_occurring(wanted, n, copied, m), "term long, key long, n long")
+    # of a text that may have copies one row counts
+    counted = counted.groupBy("term", "key").agg(F.when(F.col("key").isNull(), F.sum("n")).otherwise(1).alias("n"))
     frequency = counted.groupBy("term").agg(F.sum("n").alias("texts"))
+    total = float(max(different.count(), 1))
     joined = pairs.join(entities, "entity").join(frequency, "term")
-    # a window may cut a word, and a cut word is a term that the whole text does not hold
-    texts_with = F.greatest("texts", "together")
-    own = -F.log2(F.col("mentions") / F.lit(float(max(total, 1))))
-    mutual = F.log2(F.col("together") * float(max(total, 1)) / (F.col("mentions") * texts_with))
-    return joined.withColumns({"information": own, "mutual": mutual}).filter(
-        (F.col("information") > 0) & (F.col("mutual") >= alpha * F.col("information"))
-    )
+    # a word that lower case alters may be counted under another spelling
+    joined = joined.withColumn("texts", F.greatest("texts", "together"))
+    own = -F.log2(F.col("mentions") / F.lit(total))
+    mutual = F.log2(F.col("together") * F.lit(total) / (F.col("mentions") * F.col("texts")))
+    named = joined.withColumns({"information": own, "mutual": mutual}).select(*(c.split()[0] for c in kind.split(", ")))
+    return named.filter((F.col("information") > 0) & (F.col("mutual") >= alpha * F.col("information")))
 
 
 def _marked(shared, bits: int):
@@ -261,18 +306,20 @@ def _marked(shared, bits: int):
     return run
 
 
+@tidy
 def find(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     alpha: float = ALPHA,
     min_support: int = MIN_SUPPORT,
-    bits: int = FILTER_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, a count per kind, ``base`` and ``spans`` (kind:start:end, joined)."""
     spark = docs.sparkSession
     disclosing = disclosing_terms(docs, text_col, alpha, min_support, bits).select("term").distinct()
     disclosing = stage(disclosing, "pii-terms")
+    bits = bits or filter_bits(disclosing.count())
     words = filter_words(disclosing, "term", bits)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), F.xxhash64(id_col, text_of(text_col)).alias("rid")
@@ -306,11 +353,17 @@ def replace(text: str | None, spans: str) -> str:
     return "".join([*parts, text[done:]])
 
 
+def _replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [replace(t, s) if s else t for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+
 def sanitise(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with all spans generalised. ``found`` comes from ``find``; ids must be unique."""
-    general = F.udf(replace, "string")
-    joined = docs.select(F.col(id_col).alias("doc_id"), text_col).join(found.select("doc_id", "spans"), "doc_id")
-    return joined.select("doc_id", F.when(F.col("spans") == "", F.col(text_col)).otherwise(general(text_col, "spans")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    joined = rows.join(found.select("doc_id", "spans"), "doc_id").select("doc_id", "text", "spans")
+    return joined.mapInArrow(_replaced, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def digest(text: str) -> str:

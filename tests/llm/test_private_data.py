@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -95,3 +96,56 @@ def test_empty_table_and_long_text(docs):
     assert private_data.find(docs((1, "a")).filter("false")).collect() == []
     (row,) = private_data.find(docs((1, "word " * 200_000 + "x@y.zz"))).collect()
     assert row.spans == "email:1000000:1000006" and row.n_email == 1
+
+
+def brute_terms(rows, alpha=0.8, min_support=3):
+    """(entity, term) by plain counting over different texts."""
+    texts = {t or "" for _, t in rows}
+    holds, near, terms = {}, {}, {}
+    for text in texts:
+        terms[text] = private_data.whole_terms(text)
+        for name, context, around in private_data.contexts(text, private_data.base_spans(text)):
+            holds.setdefault(name, {}).setdefault(text, set()).add(context)
+            for t in around:
+                near.setdefault((name, t), set()).add(context)
+    found = set()
+    for name, by_text in holds.items():
+        if len(set().union(*by_text.values())) < min_support:
+            continue
+        own = -math.log2(len(by_text) / len(texts))
+        for t in set().union(*(terms[x] for x in by_text)):
+            with_both = [x for x in by_text if t in terms[x]]
+            support = max(len({min(by_text[x]) for x in with_both}), len(near.get((name, t), ())))
+            every = max(sum(t in set(private_data.TERMS.findall(x.lower())) for x in texts), len(with_both))
+            mutual = math.log2(len(with_both) * len(texts) / (len(by_text) * every))
+            if support >= min_support and own > 0 and mutual >= alpha * own - 1e-12:
+                found.add((name, t))
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_disclosing_terms_equal_plain_counting(docs, seed):
+    rng = random.Random(seed)
+    common, rare = [f"w{k}" for k in range(60)], [f"r{k}" for k in range(25)]
+    mails = [f"m{k}@x.example" for k in range(6)]
+    rows = []
+    for k in range(220):
+        words = rng.choices(common, k=rng.randint(3, 80)) + rng.choices(rare, k=rng.randint(0, 2))
+        if rng.random() < 0.4:
+            m = rng.randrange(6)
+            words += [mails[m]] * rng.randint(1, 2) + ([rare[m]] if rng.random() < 0.9 else [])
+        rng.shuffle(words)
+        rows += [(k, " ".join(words))] * rng.choice([1, 1, 1, 4])
+    want = brute_terms(rows)
+    found = private_data.disclosing_terms(docs(*rows)).collect()
+    assert len(want) >= 3 and {(r.entity, r.term) for r in found} == {(e, private_data.key_of(t)) for e, t in want}
+
+
+def test_a_term_far_from_every_mention_is_found(docs):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows = [(k, f"Quillabert {some(300)} wrote k.q@mail.example to {some(40)}") for k in range(5)]
+    rows += [(100 + k, some(50)) for k in range(40)] + [(200, "so Quillabert left")]
+    got = {r.doc_id: r.spans for r in private_data.find(docs(*rows)).collect()}
+    assert got[200] == "term:3:13" and all("term:0:10" in got[k] for k in range(5))

@@ -90,3 +90,43 @@ def test_sum_of_squares_takes_the_best_level():
         assert costs[packer.place(length)] == min(costs.values())
         packer.add((k, 0, b"", 0), length)
         assert packer.count[0] == packer.count[20] == 0
+
+
+def replayed(lengths, window):
+    """Closed windows of one task as lists of (doc, start, length), by trying every placement in plain Python."""
+    count, open_, closed = {}, {}, []
+    for doc, n in lengths:
+        whole = n - n % window
+        closed += [[(doc, s, window)] for s in range(0, whole, window)]
+        rest = n - whole
+        if not rest:
+            continue
+        costs = []
+        for level in [0, *sorted(k for k, c in count.items() if c and k + rest <= window)]:
+            after = dict(count)
+            if level:
+                after[level] -= 1
+            if level + rest < window:
+                after[level + rest] = after.get(level + rest, 0) + 1
+            costs.append((sum(c * c for c in after.values()), -level, level, after))
+        _, _, level, count = min(costs)
+        pieces = open_[level].pop() if level else []
+        pieces.append((doc, whole, rest))
+        if level + rest == window:
+            closed.append(pieces)
+        else:
+            open_.setdefault(level + rest, []).append(pieces)
+    return closed
+
+
+def test_placement_equals_a_replay_of_one_task(docs):
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(rng.choice(["the", "of", "and", "a", "to", "in"], rng.integers(0, 90)))) for k in range(500)]
+    df = docs(*rows).orderBy("doc_id").coalesce(1)
+    order = [(r.doc_id, r.text) for r in df.collect()]
+    encoder = Encoder(tokenizer_path("word_bpe_49k.json"))
+    want = replayed([(i, len(encoder.ids(t)) + 1) for i, t in order], 64)
+    got = {}
+    for r in sorted(packing.pack(df, window=64).collect(), key=lambda r: (r.sequence_id, r.offset)):
+        got.setdefault(r.sequence_id, []).append((r.doc_id, r.start, r.length))
+    assert list(got.values())[: len(want)] == want and len(want) > 200

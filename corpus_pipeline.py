@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from stopline.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
 from stopline.llm.common import ship, table
 from stopline.session import prepare, work_path
-
+from stopline.sources.tables import scratch
+from stopline.sources.versioned import Files
 
 TOXIC = 0.7
 #: Near copies share this many per cent of their shingles of so many words; op5's own defaults differ.
@@ -55,13 +56,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored before the next stage reads it."""
-    docs = table(prepare(spark), sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        result = stage(spark, docs, sf_dir)
-        if k + 1 == len(STAGES):
-            return result
+    """All stages over ``documents``; each result is stored before the next stage reads it.
+
+    What a stage has staged goes when its result is stored, and a stored result when the next one is."""
+    docs, before = table(prepare(spark), sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
         path = work_path(spark, f"pipeline-{k}")
-        result.write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            Files(spark, before).remove(before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -42,7 +42,7 @@ WINDOW_TERMS = 6
 REACH = 400
 MIN_SUPPORT = 3
 ALPHA = 0.8
-ROOM = 200_000
+ROOM = 100_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -152,7 +152,7 @@ def _terms(shared, bits: int):
     """(key, term) of the texts that the bit filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        words = shared.value.tobytes()
         for batch in batches:
             for text, key in zip(batch.column("text"), batch.column("key").to_pylist()):
                 if maybe(words, bits, key):
@@ -197,20 +197,21 @@ def filter_words(keys: DataFrame, key: str, bits: int) -> np.ndarray:
     return words.view(np.uint64)
 
 
-def maybe(words: np.ndarray, bits: int, key: int) -> bool:
-    slot = key % (1 << bits)
-    return bool(int(words[slot >> 6]) >> (slot & 63) & 1)
+def maybe(bitmap: bytes, bits: int, key: int) -> bool:
+    """Whether the key may be in a filter whose words are given as little-endian bytes."""
+    slot = key & ((1 << bits) - 1)
+    return bool(bitmap[slot >> 3] >> (slot & 7) & 1)
 
 
 class _Wanted:
     """Keys of the words that may be in the filter, remembered per worker."""
 
-    def __init__(self, words: np.ndarray, bits: int):
+    def __init__(self, bitmap: bytes, bits: int):
         def look(word: str) -> int | None:
             key = key_of(word)
-            return key if maybe(words, bits, key) else None
+            return key if maybe(bitmap, bits, key) else None
 
-        self.known = Bounded(look)
+        self.known = Bounded(look, 150_000)
 
     def __call__(self, word: str) -> int | None:
         return self.known[word]
@@ -221,7 +222,7 @@ def _occurring(shared, bits: int, copied, copied_bits: int):
     terms with its ``key``, every other text counts at once and without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, copies, done = _Wanted(shared.value, bits), copied.value, set()
+        wanted, copies, done = _Wanted(shared.value.tobytes(), bits), copied.value.tobytes(), set()
         for batch in batches:
             counts: dict[tuple[int, int | None], int] = {}
             for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
@@ -281,7 +282,7 @@ def _marked(shared, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        wanted = _Wanted(words, bits) if words.any() else None
+        wanted = _Wanted(words.tobytes(), bits) if words.any() else None
         span = pa.list_(pa.struct([("term", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
         for batch in batches:
             base, counts, terms = [], [], []
@@ -290,10 +291,14 @@ def _marked(shared, bits: int):
                 base.append(written(spans))
                 counts.append([sum(k == kind for k, _, _ in spans) for kind in KINDS])
                 found = []
-                if wanted and any(wanted(w) is not None for w in set(TERMS.findall(text.lower()))):
+                low = text.lower()
+                hits = {w: k for w in set(TERMS.findall(low)) if (k := wanted.known[w]) is not None} if wanted else {}
+                if hits:
                     taken = [(a, b) for _, a, b in spans]
+                    # where lower case changes the length, words may be cut elsewhere than in the text
+                    find = hits.get if len(low) == len(text) else wanted
                     for m in TERMS.finditer(text):
-                        key = wanted(m.group().lower())
+                        key = find(m.group().lower())
                         if key is not None and not _inside(m.span(), taken):
                             found.append({"term": key, "a": m.start(), "b": m.end()})
                 terms.append(found)

@@ -15,7 +15,8 @@ Everything lies under ``<path>/_table``, which plain Parquet readers of ``<path>
 can be rewritten in place and turned over by its first version.
 
 Files are laid out by measured bytes: rows of a partition are counted, bytes per row are taken from
-what is stored already or from a small trial write, and each file gets its share.
+what is stored already or from a small trial write, and each file gets its share. However small rows are
+written, a file has a bounded number of them, since its task holds them unpacked.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from pyspark.sql import types as T
 from stopline.session import work_path
 
 TARGET_BYTES = 128 << 20
+MOST_ROWS = 2_000_000  # to a file: its task sorts its rows by partition, and rows in memory compress by nothing
 TRIAL_ROWS = 20_000
 KEPT_VERSIONS = 2
 MOST_PARTS = 64
@@ -384,7 +386,8 @@ def trial_bytes(rows: DataFrame, partition: str | None) -> float:
 
 
 def sized(rows: DataFrame, partition: str | None, bytes_per_row: float | None, target: int, folder: str) -> None:
-    """Write rows in files of about ``target`` bytes, as many to a partition as its rows need.
+    """Write rows in files of about ``target`` bytes and at most some ``MOST_ROWS`` rows, as many to a
+    partition as its rows need.
 
     Rows are dealt to tasks by number, one file each: no two slices meet in a task by chance."""
     by = [F.col(partition)] if partition else []
@@ -394,7 +397,7 @@ def sized(rows: DataFrame, partition: str | None, bytes_per_row: float | None, t
         bytes_per_row = trial_bytes(rows, partition) if total > TRIAL_ROWS else 1.0
     first, slots = 0, []
     for r in counts:
-        slices = max(1, round(r["n"] * bytes_per_row / target))
+        slices = max(1, round(r["n"] * bytes_per_row / target), -(-r["n"] // MOST_ROWS))
         slots.append((r[partition] if partition else None, first, slices))
         first += slices
     writer = lambda df: (df.write.partitionBy(partition) if partition else df.write).mode("append").parquet(folder)

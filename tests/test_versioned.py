@@ -233,3 +233,12 @@ def test_many_small_batches_become_one_part(spark, monkeypatch):
     for k in range(9):
         tb.append(spark.range(k, k + 1), notes)
     assert len(Table(spark, notes).current().parts) <= 4 and sorted(r[0] for r in tb.read(spark, notes).collect()) == list(range(9))
+
+
+def test_a_file_has_a_bounded_number_of_rows(spark, monkeypatch):
+    """However small rows are written, the task that writes them holds them unpacked."""
+    monkeypatch.setattr(versioned, "MOST_ROWS", 100)
+    path = work_path(spark, "bounded")
+    Table(spark, path, "day").append(spark.range(1000).selectExpr("1 AS day", "cast(id AS string) AS key", "0 AS v"))
+    per_file = tb.read(spark, path).groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) == 10 and max(r["count"] for r in per_file) < 200

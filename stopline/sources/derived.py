@@ -99,7 +99,8 @@ def poll_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed label rows from order lines: one per (order, line), all three closing reasons."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+    # One exchange by order serves the dedup and the join.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.min(
             F.struct(
                 "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag", "l_quantity"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopline.config import LABEL_KEY
@@ -10,6 +10,7 @@ from stopline.functions import numeric as num
 from stopline.functions import timecols as tc
 from stopline.operators import labels as lab
 from stopline.operators import prefix
+from stopline.sources import tables as tb
 
 RATE_KEY = ["route_id", "hour_of_day"]
 HEADWAY_KEY = ["route_id", "direction_id", "stop_id"]
@@ -52,30 +53,40 @@ def previous_arrivals(training: DataFrame) -> DataFrame:
     )
 
 
-def previous_delays(training: DataFrame) -> DataFrame:
-    """Per (trip, service day, time): the delay at the trip's latest strictly earlier stop.
+def with_previous_delays(training: DataFrame) -> DataFrame:
+    """Each row with the delay at its trip's latest strictly earlier stop.
 
-    Several stops at one time are settled by the highest stop id. The key holds the service day,
-    so a key has at most one day's distinct times and needs no further split."""
-    points = training.groupBy(*TRIP_KEY, AT).agg(
-        F.max_by("delay_seconds", F.struct("stop_id", "delay_seconds")).alias("delay")
-    )
-    return prefix.previous_point(points, TRIP_KEY, AT, ["delay"], bucket=None).select(
-        *TRIP_KEY, AT, F.col("prev_delay").alias("current_delay_persistence_seconds")
-    )
+    Several stops at one time are settled by the highest stop id. The key holds the service day, so a
+    key's rows are one day's stops, and one exchange by that key serves every row; nothing is joined."""
+    earlier = Window.partitionBy(*TRIP_KEY).orderBy(F.unix_micros(AT)).rangeBetween(Window.unboundedPreceding, -1)
+    latest = F.max(F.struct(AT, "stop_id", "delay_seconds")).over(earlier)["delay_seconds"]
+    return training.withColumn("current_delay_persistence_seconds", F.when(F.col(AT).isNotNull(), latest))
+
+
+def previous_delays(training: DataFrame) -> DataFrame:
+    """Per (trip, service day, time): the delay at the trip's latest strictly earlier stop."""
+    rows = training.select(*TRIP_KEY, AT, "stop_id", "delay_seconds")
+    return with_previous_delays(rows).select(*TRIP_KEY, AT, "current_delay_persistence_seconds").distinct()
 
 
 def build(training: DataFrame, since=None, until=None) -> DataFrame:
     """Feature rows for training labels scheduled in [since, until).
 
     The window selects which rows get features; their history reaches back without bound. Only
-    labels before ``until`` can be history, so that bound does reach the history scans."""
+    labels before ``until`` can be history, so that bound does reach the history scans.
+
+    The two histories per time are staged: Spark then knows their size and broadcasts them while they
+    are small, so that rows are exchanged once, by trip, and not for each history."""
     history = training if until is None else training.filter(F.col(AT) < until)
-    wanted = with_local_time(training).filter(lab.in_window(F.col(AT), since, until))
+    rates = tb.stage(earlier_rate(route_hour_history(history)), "rates")
+    headways = tb.stage(previous_arrivals(history), "headways")
+    narrow = history.select(*LABEL_KEY, AT, "delay_seconds")
+    wanted = with_local_time(with_previous_delays(narrow)).filter(lab.in_window(F.col(AT), since, until))
+    known = F.col("trip_id").isNotNull() & F.col("service_date_norm").isNotNull()  # a null key has no history
     return (
-        wanted.join(earlier_rate(route_hour_history(history)), [*RATE_KEY, AT], "left")
-        .join(previous_arrivals(history), [*HEADWAY_KEY, AT], "left")
-        .join(previous_delays(history), [*TRIP_KEY, AT], "left")
+        wanted.withColumn("current_delay_persistence_seconds", F.when(known, F.col("current_delay_persistence_seconds")))
+        .join(rates, [*RATE_KEY, AT], "left")
+        .join(headways, [*HEADWAY_KEY, AT], "left")
         .select(
             *LABEL_KEY,
             "route_hour_historical_late_rate",

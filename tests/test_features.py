@@ -130,3 +130,36 @@ def test_one_corrupted_rate_is_found(labels):
     assert verify.recompute_check(lost, df).first()["mismatches"] == 1
     made = good.withColumn(RATE, F.coalesce(RATE, F.lit(0.0)))
     assert verify.recompute_check(made, df).first()["mismatches"] == 2  # the two rows without history
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_rows_are_exchanged_once_for_all_features(labels):
+    """Rows go to their trip; the histories per time are stored first and small ones are broadcast."""
+    df = labels(*[row(f"t{i}", 60 * i, i) for i in range(20)])
+    assert exchanges(feat.build(df)) == 1
+
+
+def test_persistence_equals_a_plain_search(labels):
+    rng = random.Random(5)
+    rows = [
+        row(rng.choice(["a", "b", None]), 60 * rng.randrange(8), rng.choice([None, 0, 200]), stop_id=f"s{rng.randrange(4)}")
+        for _ in range(80)
+    ]
+    df = labels(*rows)
+    every = lab.training_labels(df).select("trip_id", "scheduled_arrival", "stop_id", "delay_seconds").collect()
+
+    def wanted(trip, time):
+        earlier = [r for r in every if r["trip_id"] == trip and r["scheduled_arrival"] < time]
+        low = lambda d: (d is not None, d or 0)
+        last = max(earlier, key=lambda r: (r["scheduled_arrival"], r["stop_id"], low(r["delay_seconds"])), default=None)
+        return last and last["delay_seconds"]
+
+    found = feat.previous_delays(lab.training_labels(df)).collect()
+    assert len(found) == len({(r["trip_id"], r["scheduled_arrival"]) for r in every})
+    assert all(r[DELAY] == wanted(r["trip_id"], r["scheduled_arrival"]) for r in found)
+    built = feat.build(lab.training_labels(df)).collect()
+    assert len(built) == len(every)
+    assert all(r[DELAY] is None for r in built if r["trip_id"] is None)

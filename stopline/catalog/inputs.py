@@ -38,9 +38,8 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.stored(
-        spark, sf_dir, "split", lambda: tr.prepare(features(spark, sf_dir), labels(spark, sf_dir))
-    )
+    keep = lambda build, name: d.stored(spark, sf_dir, name, build)
+    return tr.prepare(features(spark, sf_dir), labels(spark, sf_dir), keep=keep)
 
 
 _FITTED: dict[tuple[str, str], scoring.Fitted] = {}

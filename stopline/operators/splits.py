@@ -9,6 +9,7 @@ from stopline.config import MIN_DAYS_FOR_REPORT, TRAIN_FRACTION
 from stopline.functions import numeric as num
 from stopline.functions import timecols as tc
 from stopline.operators import prefix
+from stopline.sources import tables as tb
 
 AT = "scheduled_arrival"
 
@@ -17,10 +18,11 @@ def split_cut(rows: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
     """One row with ``cut_at``: the time of row number floor(n * fraction) in time order.
 
     Rows up to and including that time train, so no time is ever on both sides. With no such row
-    the cut is null and everything is test. Counts per distinct time are summed in nested time
-    buckets; no row is numbered and nothing is sorted in one task."""
-    counts = prefix.cumulative_counts(rows.select(AT), AT, prefix.time_buckets(AT, prefix.DAY))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    the cut is null and everything is test. Counts per distinct time are staged, so ``rows`` is read
+    once, and summed in nested time buckets; no row is numbered and nothing is sorted in one task."""
+    points = tb.stage(rows.groupBy(AT).agg(F.count(F.lit(1)).alias("n")), "times")
+    counts = prefix.prefix_sums(points, [], AT, ["n"], prefix.time_buckets(AT, prefix.DAY))
+    total = points.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
     wanted = F.floor(total.cast("double") * F.lit(fraction))
     return counts.filter(F.col("n_before") < wanted).agg(F.max(AT).alias("cut_at"))
 
@@ -29,9 +31,9 @@ def with_split(rows: DataFrame, cut_at: Column) -> DataFrame:
     return rows.withColumn("split", F.when(F.col(AT) <= cut_at, "train").otherwise("test"))
 
 
-def temporal_split(rows: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
-    """Rows with their ``split``."""
-    return with_split(rows, split_cut(rows, fraction).scalar())
+def temporal_split(rows: DataFrame, fraction: float = TRAIN_FRACTION, keep=tb.staged) -> DataFrame:
+    """Rows with their ``split``. The cut is stored by ``keep``, so rows read often are cut once."""
+    return with_split(rows, keep(lambda: split_cut(rows, fraction), "cut").scalar())
 
 
 def split_summary(split_rows: DataFrame, *by: str) -> DataFrame:
@@ -68,8 +70,9 @@ def route_hour_rate(split_rows: DataFrame) -> DataFrame:
 
 def with_frozen_rate(split_rows: DataFrame) -> DataFrame:
     """Replace the as-of rate by the train-only rate; unseen (route, hour) pairs stay null."""
+    rates = tb.stage(route_hour_rate(split_rows), "frozen-rates")  # its size is known, so a small one is broadcast
     return (
-        split_rows.join(route_hour_rate(split_rows), ["route_id", "hour_of_day"], "left")
+        split_rows.join(rates, ["route_id", "hour_of_day"], "left")
         .withColumn("route_hour_historical_late_rate", F.col("frozen_rate"))
         .drop("frozen_rate")
         .select(*split_rows.columns)

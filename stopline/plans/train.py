@@ -23,9 +23,13 @@ class TrainingRun:
     model: scoring.Model
 
 
-def prepare(features: DataFrame, labels: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
-    """The training set with its split column."""
-    return splits.temporal_split(feat.training_set(features, labels), fraction)
+def prepare(features: DataFrame, labels: DataFrame, fraction: float = TRAIN_FRACTION, keep=tb.staged) -> DataFrame:
+    """The training set with its split column.
+
+    The set and its cut are stored by ``keep``: the join runs once, the cut reads one column of the set,
+    and the split is told from the time on reading."""
+    rows = keep(lambda: feat.training_set(features, labels), "training")
+    return splits.temporal_split(rows, fraction, keep)
 
 
 def frozen_scores(split_rows: DataFrame, rules: scoring.ModelRules, facts: scoring.FeatureFacts, names=scoring.MODELS) -> DataFrame:
@@ -98,9 +102,9 @@ def train(
 ) -> TrainingRun:
     """Fit, evaluate, log every candidate and save the best model by test PR-AUC.
 
-    The split training set is staged: the iterative fits read it many times."""
+    The training set is staged: the iterative fits read it many times."""
     run_id = run_id or datetime.now(timezone.utc).strftime("v%Y%m%d-%H%M%S")
-    rows = tb.stage(prepare(features, labels), "training")
+    rows = prepare(features, labels)
     scored, fitted = scoring.model_scores(rows, rules)
     results = tb.stage(metrics.evaluate(tb.stage(scoring.baseline_scores(rows).unionByName(scored), "scores")), "results")
     frozen = tb.stage(frozen_scores(rows, rules, fitted.facts), "frozen-scores")

@@ -6,7 +6,7 @@ files and then moves one pointer, so a crash at any step leaves the old or the n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -70,6 +70,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """:func:`stage` of what ``build`` returns; callers that keep tables by name pass another function."""
+    return stage(build(), name)
+
+
 def with_month(df: DataFrame, column: str = "polled_at") -> DataFrame:
     """Monthly layout column; a month's folder appears on first write, so no row lacks a home."""
     return df.withColumn(MONTH, tc.month_of(F.col(column)))

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stopline.operators import features as feat
 from stopline.operators import metrics, scoring, splits
 from stopline.plans import train
 from stopline.session import work_path
@@ -162,3 +163,14 @@ def test_exact_medians_fill_the_logistic_features(spark):
     medians = scoring.feature_medians(df)
     assert medians["headway_seconds"] == 20.0 and medians["route_hour_historical_late_rate"] == 0.0
     assert sorted(r["headway_seconds_x"] for r in scoring.with_median_fill(df, medians).collect()) == [10.0, 20.0, 20.0, 900.0]
+
+
+def test_the_training_set_is_joined_once_and_rates_of_known_size_are_broadcast(spark, labels):
+    T0 = at("2026-08-12 16:00:00")
+    df = labels(*[dict(trip_id=f"t{i}", scheduled_arrival=plus(T0, 60 * i), delay_seconds=300 * (i % 2)) for i in range(10)])
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    rows = train.prepare(feat.build(df), df)
+    assert sizes(rows) == (7, 3)
+    assert "Join" not in plan(rows) and "Exchange" not in plan(rows)
+    frozen = splits.with_frozen_rate(rows)
+    assert "BroadcastHashJoin" in plan(frozen) and "Exchange hashpartitioning" not in plan(frozen)

@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 from stopline.config import MIN_PRECISION
 from stopline.functions import numeric as num
 from stopline.operators import prefix
+from stopline.sources import tables as tb
 
 KEY = ["candidate", "split"]
 
 
 def score_curve(scored: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """Per distinct score, from high to low: rows at or above it, and the rates they give."""
-    points = (
-        scored.groupBy(*keys, "score")
-        .agg(F.sum("y").alias("tp"), F.count(F.lit(1)).alias("n"))
-        .withColumn("rank_key", -F.col("score"))
-    )
+    """Per distinct score, from high to low: rows at or above it, and the rates they give.
+
+    The totals per score are staged: the scored rows are read once, however often the curve is."""
+    totals = scored.groupBy(*keys, "score").agg(F.sum("y").alias("tp"), F.count(F.lit(1)).alias("n"))
+    points = tb.stage(totals, "score-points").withColumn("rank_key", -F.col("score"))
     cumulative = prefix.prefix_sums(points, keys, "rank_key", ["tp", "n"], prefix.score_buckets("rank_key"))
     # One row per candidate and split.
     totals = points.groupBy(*keys).agg(F.sum("tp").alias("positives"), F.sum("n").alias("total"))

@@ -174,3 +174,9 @@ def test_the_training_set_is_joined_once_and_rates_of_known_size_are_broadcast(s
     assert "Join" not in plan(rows) and "Exchange" not in plan(rows)
     frozen = splits.with_frozen_rate(rows)
     assert "BroadcastHashJoin" in plan(frozen) and "Exchange hashpartitioning" not in plan(frozen)
+
+
+def test_scored_rows_are_read_once_for_all_metrics(spark):
+    scored = spark.range(40).selectExpr("'m' AS candidate", "if(id % 2 = 0, 'train', 'test') AS split", "cast(id % 3 = 0 AS int) AS y", "id / 40 AS score")
+    for df in (metrics.ranking_metrics(metrics.score_curve(scored)), metrics.evaluate(scored)):
+        assert "Range" not in df._jdf.queryExecution().executedPlan().toString()

@@ -7,8 +7,9 @@ sets are one representative from the start.
 
 Inside a bucket, members form a signature tree: a node holds the bitwise or of its members' token
 bitmaps and their range of set sizes. Two nodes are traversed together and dropped as soon as the
-most their members could overlap is below the least that the threshold needs. What is left is
-verified on the whole sets, each pair once.
+most their members could overlap is below the least that the threshold needs. Members of pairs that
+are left meet again in the same bucket with their whole sets and are verified there, so that pairs,
+whose number grows with the square of a group, are never rows; only links that join components are.
 
 Large groups of near copies are collapsed first: each representative is verified against the pivots
 of a few of its buckets, and linked ones become one component. Then only buckets
@@ -44,6 +45,9 @@ BLOCK = 256
 MINI = 16
 MINI_SHARED = 8
 LEAF = 8
+SHARPER = 8
+FIRST_UNITS = 32
+HOT = "key long, i int, j int, sig long, comp long, at int"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FINAL = np.uint64(0xD6E8FEB86659FD93)
 
@@ -224,8 +228,23 @@ def candidates(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int,
                 stack += [(x, z) for z in y.below]
 
 
-def _searched(percent: int):
-    """Candidate pairs of each (key, i, j) unit; rows come sorted by unit."""
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each (key, i, j) unit; they come sorted by unit."""
+    unit: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if unit and unit[0][:3] != row[:3]:
+                yield unit
+                unit = []
+            unit.append(row)
+    if unit:
+        yield unit
+
+
+def _pairs_of(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Candidate pairs of one unit's rows (key, i, j, sig, comp, n, at, map).
+
+    Sets that may link differ little in size, so their widths are equal or one step apart."""
 
     def by_width(rows: list[tuple]) -> dict[int, list[tuple]]:
         out: dict[int, list[tuple]] = {}
@@ -233,39 +252,95 @@ def _searched(percent: int):
             out.setdefault(8 * len(r[7]), []).append((r[3], r[4], r[5], int.from_bytes(r[7], "little")))
         return out
 
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        """Sets that may link differ little in size, so their widths are equal or one step apart."""
-        i, j = rows[0][1], rows[0][2]
-        one, two = by_width([r for r in rows if r[6] == i]), by_width([r for r in rows if r[6] == j])
-        for w in one:
-            for v in (w // 2, w, 2 * w):
-                if v not in two or (i == j and v < w):
-                    continue
-                width = min(w, v)
-                x = tree([(*m[:3], folded(m[3], w, width)) for m in one[w]], width)
-                y = x if i == j and v == w else tree([(*m[:3], folded(m[3], v, width)) for m in two[v]], width)
-                yield from candidates(x, y, percent)
+    i, j = rows[0][1], rows[0][2]
+    one, two = by_width([r for r in rows if r[6] == i]), by_width([r for r in rows if r[6] == j])
+    for w in one:
+        for v in (w // 2, w, 2 * w):
+            if v not in two or (i == j and v < w):
+                continue
+            width = min(w, v)
+            x = tree([(*m[:3], folded(m[3], w, width)) for m in one[w]], width)
+            y = x if i == j and v == w else tree([(*m[:3], folded(m[3], v, width)) for m in two[v]], width)
+            yield from candidates(x, y, percent)
+
+
+def _members(choose):
+    """The members that ``choose`` names in each (key, i, j) unit: never more rows than came in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        unit: list[tuple] = []
+        out: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [()] * 6
+            out.clear()
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names=["key", "i", "j", "sig", "comp", "at"])
+
+        for unit in _by_unit(batches):
+            named = choose(unit)
+            out += [(*r[:5], r[6]) for r in unit if r[3] in named]
+            if len(out) > 100_000:
+                yield batch()
+        yield batch()
 
-        def out() -> pa.RecordBatch:
-            a, b = zip(*seen) if seen else ((), ())
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _searched(percent: int):
+    """The members of each unit that are in a candidate pair there."""
+    return _members(lambda unit: {s for pair in _pairs_of(unit, percent) for s in pair})
+
+
+def _first_met(percent: int):
+    """The members of each unit in a candidate pair that no earlier unit is known to compare.
+
+    Rows end with the unit's number and the member's first units, told with their sides: two members
+    meet in a unit of one block, or from different sides. A pair's first unit always keeps it."""
+
+    def choose(unit: list[tuple]) -> set[int]:
+        here = unit[0][8] >> 2
+        units = {r[3]: {u >> 2: u & 3 for u in r[9] if u >> 2 < here} for r in unit}
+        named: set[int] = set()
+        for a, b in _pairs_of(unit, percent):
+            if a in named and b in named:
+                continue
+            x, y = units[a], units[b]
+            if not any(u in y and (side & 1 or side != y[u]) for u, side in x.items()):
+                named |= {a, b}
+        return named
+
+    return _members(choose)
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if unit and unit[0][:3] != row[:3]:
-                    seen.update(pairs_of(unit))
-                    unit = []
-                unit.append(row)
-            if len(seen) > 100_000:
-                yield out()
-        if unit:
-            seen.update(pairs_of(unit))
-        yield out()
+
+def _joined(percent: int):
+    """Links (a, b) of rows (key, i, j, sig, comp, at, tokens), verified on the whole sets inside each unit.
+
+    Only a link between components that no earlier link of the unit joins is handed on, so a unit of m
+    members has fewer than m."""
+
+    def links_of(unit: list[tuple]) -> Iterator[tuple[int, int]]:
+        sets = {r[3]: np.frombuffer(r[6], np.uint64) for r in unit}
+        comp, root = {r[3]: r[4] for r in unit}, {r[4]: r[4] for r in unit}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        sharp = lambda t: bitmap(t, SHARPER * width_for(len(t)))
+        rows = [(*r[:5], len(sets[r[3]]), r[5], sharp(sets[r[3]])) for r in unit]
+        for a, b in _pairs_of(rows, percent):
+            x, y = find(comp[a]), find(comp[b])
+            if x != y and linked(sets[a], sets[b], percent):
+                root[x] = y
+                yield a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _by_unit(batches):
+            if links := list(links_of(unit)):
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -287,10 +362,13 @@ def _sets(size: int):
     return run
 
 
-def whole_sets(rows: DataFrame, ids: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(sig, tokens) of the signatures in the pairs: one document of each is read again."""
-    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = stage(wanted.join(ids, "sig").select("sig", F.xxhash64("first_id").alias("key")), "join-wanted")
+def both_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig")))
+
+
+def whole_sets(rows: DataFrame, ids: DataFrame, sigs: DataFrame, size: int) -> DataFrame:
+    """(sig, tokens) of the signatures: one document of each is read again."""
+    wanted = stage(sigs.select("sig").distinct().join(ids, "sig").select("sig", F.xxhash64("first_id").alias("key")), "join-wanted")
     bits = filter_bits(wanted.count())
     words = stage(bit_filter(wanted, "key", bits), "join-wanted-filter")
     few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, bits, "may").filter("may").select("text")
@@ -399,6 +477,35 @@ def _units(rows: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
     return joined.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+def _once(hot: DataFrame) -> DataFrame:
+    """The members of units; of units that would compare the same members, told by their number and two
+    64-bit hashes, one is enough."""
+    same = [F.col("at") == F.col("i"), F.col("i") == F.col("j")]
+    marks = [F.bit_xor(F.xxhash64("sig", *same, F.lit(k))).alias(f"mark{k}") for k in range(2)]
+    units = hot.groupBy("key", "i", "j").agg(F.count(F.lit(1)).alias("m"), *marks)
+    once = units.groupBy("m", "mark0", "mark1").agg(F.min(F.struct("key", "i", "j")).alias("unit"))
+    return hot.join(once.select("unit.*"), ["key", "i", "j"])
+
+
+def _first_units(hot: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The members of units, where a pair that meets in several units needs to be compared.
+
+    A member's first units are enough to know; beyond those a pair may be compared more than once."""
+    side = F.when(F.col("i") == F.col("j"), 1).otherwise(0) + F.when(F.col("at") == F.col("i"), 2).otherwise(0)
+    told = hot.withColumn("unit", F.xxhash64("key", "i", "j").bitwiseAND(F.lit(-4)) + side)
+    units = told.groupBy("sig").agg(F.slice(F.sort_array(F.collect_set("unit")), 1, FIRST_UNITS).alias("units"))
+    rows = told.join(units, "sig").join(sketches.select("sig", "n", "map"), "sig")
+    rows = rows.select("key", "i", "j", "sig", "comp", "n", "at", "map", "unit", "units")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_first_met(percent), HOT)
+
+
+def unit_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of the units' members, found on their whole sets."""
+    filled = salted_join(hot, sets, "sig").select("key", "i", "j", "sig", "comp", "at", "tokens")
+    units = filled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return units.mapInArrow(_joined(percent), "a long, b long")
+
+
 @tidy
 def components(
     docs: DataFrame,
@@ -437,10 +544,11 @@ def components(
     comps = stage(members.select("sig").distinct().withColumn("comp", F.col("sig")), "join-comps")
     if star_rounds:
         pairs = stage(_stars(members, sketches, star_rounds, percent), "join-pairs")
-        comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
-    searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(_searched(percent), "a long, b long")
-    pairs = stage(searched.distinct(), "join-pairs")
-    comps = _merged(comps, verify(pairs, whole_sets(rows, ids, pairs, size), percent))
+        comps = _merged(comps, verify(pairs, whole_sets(rows, ids, both_of(pairs), size), percent))
+    searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(_searched(percent), HOT)
+    hot = stage(_once(stage(searched, "join-searched")), "join-hot")
+    hot = stage(_first_units(hot, sketches, percent), "join-first")
+    comps = _merged(comps, unit_links(hot, whole_sets(rows, ids, hot, size), percent))
 
     rooted = ids.join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     smallest = rooted.groupBy("comp").agg(F.min("first_id").alias("component_id"))

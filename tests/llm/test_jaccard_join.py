@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stopline.llm import jaccard_join as jj
@@ -112,3 +113,53 @@ def test_a_star_of_many_nodes_has_one_label(spark):
     found = jj.smallest_reachable(spark.createDataFrame(edges, "a long, b long")).collect()
     want = {k: 4 for k in [4, 5, *range(100, 3000)]} | {9000: 9000, 9001: 9000}
     assert {r.node: r.label for r in found} == want
+
+
+def unit_of(sets, columns):
+    """A unit (1, 0, 0) of the sets, each a component of its own, as one batch."""
+    of = {"key": lambda k: 1, "i": lambda k: 0, "j": lambda k: 0, "sig": lambda k: k, "comp": lambda k: k, "at": lambda k: 0}
+    of |= {"n": lambda k: len(sets[k]), "map": lambda k: jj.bitmap(sets[k], jj.width_for(len(sets[k]))), "tokens": lambda k: sets[k].tobytes()}
+    return pa.RecordBatch.from_pydict({c: [of[c](k) for k in range(len(sets))] for c in columns})
+
+
+def test_pairs_of_a_group_never_become_rows():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    for changed, linked in ((19, False), (4, True)):  # any two share 162 of 238, or 192 of 208
+        sets = []
+        for k in range(60):
+            keep = np.delete(base, np.arange(changed) + k * 2) if changed == 19 else np.delete(base, np.arange(changed) + k)
+            sets.append(np.unique(np.concatenate([keep, rng.integers(0, 2**63, changed).astype(np.uint64)])))
+        percent = 85 if linked else 72
+        truly = [(a, b) for b in range(60) for a in range(b) if jj.linked(sets[a], sets[b], percent)]
+        searched = list(jj._searched(percent)(iter([unit_of(sets, ["key", "i", "j", "sig", "comp", "n", "at", "map"])])))
+        hot = sorted(s for b in searched for s in b.column("sig").to_pylist())
+        assert len(hot) == len(set(hot)) and {s for pair in truly for s in pair} <= set(hot)
+        found = list(jj._joined(percent)(iter([unit_of(sets, ["key", "i", "j", "sig", "comp", "at", "tokens"])])))
+        links = [p for b in found for p in zip(*(c.to_pylist() for c in b.columns))]
+        assert len(links) < len(sets) and set(links) <= {tuple(sorted(p)) for p in truly}
+        reach = lambda pairs: brute_labels(len(sets), pairs)
+        assert reach(links) == reach(truly)
+
+
+def brute_labels(n, pairs):
+    label = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_groups_at_the_threshold_equal_brute_force(docs):
+    """Many near copies, about half of whose pairs link: units of several blocks, with pairs that fail."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(70):
+        text = list(base)
+        for _ in range(rng.randint(1, 3)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(1000)}"
+        rows.append((k, " ".join(text)))
+    for rounds in (0, 1):
+        got = jj.components(docs(*rows), star_rounds=rounds, block=9)
+        assert sorted(map(tuple, got.collect())) == brute(rows)

@@ -29,6 +29,7 @@ BINS = 255
 MISSING_BIN = 255
 WIDTH = 256
 BLOCK_CELLS = 60_000
+TASKS_PER_CORE = 2
 DIRECT_BYTES = 16_000_000
 LEAST_CURVATURE = 1e-3
 BLOCK = "bins binary, n binary, hits binary, raw binary"
@@ -89,6 +90,11 @@ def cells(rows: DataFrame, features: list[str], edges: dict[str, list[float]], t
     return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits"))
 
 
+def block_tasks(cells: int, block_cells: int, cores: int) -> int:
+    """Tasks that hold the blocks: one for each ``block_cells``, but a few for each core at most."""
+    return min(-(-cells // block_cells), TASKS_PER_CORE * max(cores, 1))
+
+
 def _packed(width: int, start: float, size: int):
     """Cells of a task as blocks of packed arrays."""
 
@@ -312,7 +318,8 @@ def fit(
     """Fit ``rounds`` trees on at most seven features; rows need a target that is not null.
 
     Blocks carry their raw scores, stored anew every ``refresh`` rounds, so a level applies a few
-    trees only. Tables go straight to the driver while all tasks' tables together fit
+    trees only. A task adds up its blocks one after another, and there are at most a few tasks for each
+    core: what a level exchanges grows with the cluster and not with the cells. Tables go straight to the driver while all tasks' tables together fit
     ``direct_bytes``, and through a sum by node beyond that."""
     spark, width = rows.sparkSession, len(features)
     if edges is None or any(c not in edges for c in features):
@@ -324,7 +331,7 @@ def fit(
         rate = (size["hits"] or 0) / size["n"] if size["n"] else 0.0
         return Boosted(features, edges, float(np.log(max(rate, 1e-12) / max(1 - rate, 1e-12))), [])
     start = float(np.log(size["hits"] / (size["n"] - size["hits"])))
-    tasks = -(-size["cells"] // block_cells)
+    tasks = block_tasks(size["cells"], block_cells, spark.sparkContext.defaultParallelism)
     spread = counted.repartition(tasks, "key").mapInArrow(_packed(width, start, 2 * block_cells), BLOCK)
     blocks = tb.stage(spread, "boosting-blocks").repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     trees: list[Tree] = []

@@ -82,6 +82,18 @@ def test_fit_equals_boosting_on_single_rows(spark, seed, depth, leaves):
     assert got["n"] == len(late) and abs(got["s"] - boosting.sigmoid(want).sum()) < 1e-9
 
 
+def test_tasks_and_their_tables_do_not_grow_with_the_cells(spark, monkeypatch):
+    assert boosting.block_tasks(150_000, 60_000, 8) == 3
+    assert boosting.block_tasks(10**9, 60_000, 8) == boosting.block_tasks(10**7, 60_000, 8) == 8 * boosting.TASKS_PER_CORE
+    values, late = drawn(5)
+    seen = []
+    monkeypatch.setattr(boosting, "block_tasks", lambda cells, size, cores: seen.append(cells) or 2)
+    # a task adds up many blocks
+    model = boosting.fit(table(spark, values, late), NAMES, F.col("late"), rounds=3, depth=3, refresh=2, block_cells=20)
+    bins = np.stack([boosting.binned(v, np.array(model.edges.get(c, ()))) for c, v in zip(NAMES, values)])
+    assert seen[0] > 10 * 2 * 20 and np.allclose(model.raw(list(values)), plain_fit(bins, late, 3, 0.1, 3, 31, 20))
+
+
 def test_missing_values_learn_their_side(spark):
     rows = [(None, 0.0, 0.0, True)] * 60 + [(float(k % 9), 0.0, 0.0, k % 9 >= 5) for k in range(180)]
     df = spark.createDataFrame(rows, "a double, b double, c double, late boolean")

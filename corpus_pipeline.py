@@ -15,31 +15,38 @@ TOXIC = 0.7
 NEAR_PERCENT, NEAR_WORDS = 80, 5
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Stages may be run one by one, so each sets what it relies on: above all small batches of whole texts."""
+    return ship(prepare(spark))
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; the model learns from the labels."""
-    model = toxicity.learn(docs, table(ship(spark), sf_dir, "labels"))
+    model = toxicity.learn(docs, table(ready(spark), sf_dir, "labels"))
     return toxicity.reject(docs, model, TOXIC)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
+    ready(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    ship(spark)
+    ready(spark)
     return jaccard_join.keep_first(docs, jaccard_join.components(docs, percent=NEAR_PERCENT, size=NEAR_WORDS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a document taken twice is two rows."""
+    ready(spark)
     return mixing.take(docs, mixing.mix(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and the sequences they lie in."""
-    ship(spark)
+    ready(spark)
     return packing.with_digest(packing.pack(docs))
 
 
@@ -59,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is stored before the next stage reads it.
 
     What a stage has staged goes when its result is stored, and a stored result when the next one is."""
-    docs, before = table(prepare(spark), sf_dir, "documents"), None
+    docs, before = table(ready(spark), sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES[:-1]):
         path = work_path(spark, f"pipeline-{k}")
         with scratch(spark):

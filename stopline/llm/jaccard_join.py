@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import bit_filter, filter_bits, salted_join, stage, text_of, tidy, with_candidate
+from stopline.llm.common import bit_filter, filter_bits, lean, salted_join, stage, text_of, tidy, with_candidate
 from stopline.llm.vocabulary import Bounded
 
 SHINGLE = 4
@@ -118,7 +118,7 @@ def frequency_classes(texts: DataFrame, size: int = SHINGLE) -> np.ndarray:
     """Per slot of the hash space how far above the mean its count is, in powers of two: 1 MB."""
     kind = "block int, counts binary"
     counts = np.zeros(1 << SLOT_BITS, np.int64)
-    for r in texts.mapInArrow(_counted(size), kind).groupBy("block").applyInArrow(_added, kind).toLocalIterator():
+    for r in texts.mapInArrow(lean(_counted(size)), kind).groupBy("block").applyInArrow(_added, kind).toLocalIterator():
         counts[r.block * SLOT_BLOCK : (r.block + 1) * SLOT_BLOCK] = np.frombuffer(r.counts, "<i4")
     # a few documents of chance in one slot are not a frequent shingle
     scale = counts.mean() + 8 * np.sqrt(counts.mean()) + 8
@@ -372,7 +372,7 @@ def whole_sets(rows: DataFrame, ids: DataFrame, sigs: DataFrame, size: int) -> D
     bits = filter_bits(wanted.count())
     words = stage(bit_filter(wanted, "key", bits), "join-wanted-filter")
     few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, bits, "may").filter("may").select("text")
-    found = few.mapInArrow(_sets(size), "sig long, tokens binary").join(wanted.select("sig"), "sig", "left_semi")
+    found = few.mapInArrow(lean(_sets(size)), "sig long, tokens binary").join(wanted.select("sig"), "sig", "left_semi")
     return stage(found.groupBy("sig").agg(F.first("tokens").alias("tokens")), "join-sets")
 
 
@@ -391,7 +391,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
     first = salted_join(pairs, one, "a")
-    return salted_join(pairs, two, "b").join(first, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
+    return salted_join(pairs, two, "b").join(first, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(lean(_verified(percent)), "a long, b long")
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
@@ -496,14 +496,14 @@ def _first_units(hot: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     units = told.groupBy("sig").agg(F.slice(F.sort_array(F.collect_set("unit")), 1, FIRST_UNITS).alias("units"))
     rows = told.join(units, "sig").join(sketches.select("sig", "n", "map"), "sig")
     rows = rows.select("key", "i", "j", "sig", "comp", "n", "at", "map", "unit", "units")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_first_met(percent), HOT)
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lean(_first_met(percent)), HOT)
 
 
 def unit_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components of the units' members, found on their whole sets."""
     filled = salted_join(hot, sets, "sig").select("key", "i", "j", "sig", "comp", "at", "tokens")
     units = filled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return units.mapInArrow(_joined(percent), "a long, b long")
+    return units.mapInArrow(lean(_joined(percent)), "a long, b long")
 
 
 @tidy
@@ -524,7 +524,7 @@ def components(
     kind = rows.schema["doc_id"].dataType.simpleString()
     classes = spark.sparkContext.broadcast(frequency_classes(rows.select("text"), size))
     described = rows.mapInArrow(
-        _described(classes, size, percent),
+        lean(_described(classes, size, percent)),
         f"doc_id {kind}, n long, sig long, keys array<long>, mini array<long>, map binary",
     )
     described = stage(described, "join-docs")
@@ -545,7 +545,7 @@ def components(
     if star_rounds:
         pairs = stage(_stars(members, sketches, star_rounds, percent), "join-pairs")
         comps = _merged(comps, verify(pairs, whole_sets(rows, ids, both_of(pairs), size), percent))
-    searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(_searched(percent), HOT)
+    searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(lean(_searched(percent)), HOT)
     hot = stage(_once(stage(searched, "join-searched")), "join-hot")
     hot = stage(_first_units(hot, sketches, percent), "join-first")
     comps = _merged(comps, unit_links(hot, whole_sets(rows, ids, hot, size), percent))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopline.llm.common import text_of
+from stopline.llm.common import lean, text_of
 from stopline.llm.vocabulary import WORD_PATTERN, Bounded, Encoder, tokenizer_path
 
 WINDOW = 2048
@@ -183,7 +183,7 @@ def pack(
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
     names = [c.split()[0] for c in schema.split(", ")]
-    return rows.mapInArrow(_packed(tokenizer_path(vocabulary), window, end_id, names), schema)
+    return rows.mapInArrow(lean(_packed(tokenizer_path(vocabulary), window, end_id, names)), schema)
 
 
 def with_digest(pieces: DataFrame) -> DataFrame:

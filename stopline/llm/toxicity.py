@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stopline.llm.common import bit_filter, filter_bits, held_out, stage, text_of, tidy, with_candidate
+from stopline.llm.common import bit_filter, filter_bits, held_out, lean, stage, text_of, tidy, with_candidate
 from stopline.llm.jaccard_join import MULTIPLIER, Shingles, signature
 from stopline.llm.vocabulary import Bounded
 
@@ -97,7 +97,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         words = bit_filter(ids.select(F.xxhash64("doc_id").alias("_k")), "_k", bits)
         return with_candidate(rows, "_k", words, bits, "_may").filter("_may").select("doc_id", "text")
 
-    keyed = only(label).mapInArrow(_keys, f"doc_id {kind}, sig long, keys array<long>").join(label, "doc_id")
+    keyed = only(label).mapInArrow(lean(_keys), f"doc_id {kind}, sig long, keys array<long>").join(label, "doc_id")
     keyed = keyed.select("toxic", "doc_id", "sig", F.explode("keys").alias("key"))
     # a text stays where no text with a smaller id shares one of its keys
     first = keyed.groupBy("key", "toxic").agg(F.min(F.struct("doc_id", "sig")).alias("first")).select("toxic", "first.*")
@@ -198,13 +198,13 @@ def cue_table(train: DataFrame, min_docs: int, surprise: float) -> DataFrame | N
         expected = (F.col("a") + c) * share
         return (F.col("a") > expected) & (F.col("a") * F.log(F.col("a") / expected) - (F.col("a") - expected) >= surprise) & (odds(c) >= LEAST_ODDS)
 
-    found = toxic.mapInArrow(_presence(), "key long, n long").groupBy("key").agg(F.sum("n").alias("a"))
+    found = toxic.mapInArrow(lean(_presence()), "key long, n long").groupBy("key").agg(F.sum("n").alias("a"))
     # what would be no cue even if no clean text held it is none
     found = stage(found.filter((F.col("a") >= min_docs) & evident(F.lit(0))), "toxic-traits")
-    other = clean.mapInArrow(_presence(*_bitmap(found)), "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
+    other = clean.mapInArrow(lean(_presence(*_bitmap(found))), "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
     both = found.join(other, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     kept = stage(both.filter(evident(F.col("c"))).select("key", odds(F.col("c")).alias("strength")), "toxic-cue-keys")
-    names = toxic.mapInArrow(_named(*_bitmap(kept)), "trait string, key long").distinct()
+    names = toxic.mapInArrow(lean(_named(*_bitmap(kept))), "trait string, key long").distinct()
     return stage(names.join(kept, "key").select("trait", "strength"), "toxic-cues")
 
 
@@ -487,7 +487,7 @@ def _each(docs: DataFrame, model: Field, text_col: str, row: Column, out: str, a
 
     kind = pa.float64() if out == "double" else SPANS
     schema = StructType([rows.schema["row"], *StructType.fromDDL(f"said {out}")])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))

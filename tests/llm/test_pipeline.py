@@ -2,13 +2,16 @@
 
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from stopline.llm.common import lean
 from stopline.llm.vocabulary import Encoder, tokenizer_path
 
 from .test_jaccard_join import brute as near_copies
@@ -144,3 +147,36 @@ def test_an_empty_pipeline_gives_no_pieces(spark, docs, tmp_path):
     none.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_each_stage_alone_takes_whole_texts_in_small_batches(spark, stages, k):
+    batch, folder = "spark.sql.execution.arrow.maxRecordsPerBatch", stages[1]
+    docs = spark.read.parquet(f"{folder}/documents.parquet" if k == 0 else f"{folder}/stage-{k - 1}")
+    before = spark.conf.get(batch)
+    try:
+        spark.conf.unset(batch)
+        corpus_pipeline.STAGES[k][1](spark, docs, folder)
+        assert int(spark.conf.get(batch)) <= 1000
+    finally:
+        spark.conf.set(batch, before)
+
+
+def test_a_worker_keeps_nothing_of_an_ended_task():
+    class Cache(dict):
+        """Refers to itself, as a cache that is filled by its owner's method does."""
+
+    left = []
+
+    def run(batches):
+        cache = Cache()
+        cache["own"] = cache
+        left.append(weakref.ref(cache))
+        yield from batches
+
+    given = [pa.record_batch({"a": [1, 2]}), pa.record_batch({"a": [3]})]
+    assert list(lean(run)(iter(given))) == given
+    ended_early = lean(run)(iter(given))
+    next(ended_early)
+    ended_early.close()
+    assert [r() for r in left] == [None, None]

@@ -19,6 +19,7 @@ from stopline.sources.tables import scratch, stage
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
+LEAST_HOT = 256  # rows of one key that no join deals out
 
 
 _SHIPPED: set[str] = set()
@@ -84,14 +85,21 @@ def with_candidate(rows: DataFrame, key: str, filter_rows: DataFrame, bits: int,
 def salted_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", share: int = 200) -> DataFrame:
     """``rows`` joined with a table that has one row per key, however many rows share a key.
 
-    A key with more than 1/``share`` of the rows is dealt out in slices of that size, and its one row of
-    the table is repeated for each. Fewer than ``share`` keys can be that frequent, so the list of them
-    is small whatever the data. ``rows`` is read twice, so it should be stored."""
-    limit = max(1, rows.count() // share)
+    A key with more than 1/``share`` of the rows, and more than ``LEAST_HOT``, is dealt out in slices of that
+    size, and its one row of the table is repeated for each. Fewer than ``share`` keys can be that frequent, so
+    the list of them is small whatever the data; without any it is a plain join, which costs the driver no
+    broadcasts. ``rows`` is read twice, so it should be stored."""
+    total = rows.count()
+    limit = max(LEAST_HOT, total // share)
+    if total <= limit:
+        return rows.join(table, key, how)
     slices = F.ceil(F.col("n") / limit).cast("int").alias("_slices")
     hot = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))
     found = hot.filter(F.col("n") > limit).select("_hot", slices)
-    few = rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    listed = found.collect()
+    if not listed:
+        return rows.join(table, key, how)
+    few = rows.sparkSession.createDataFrame(listed, found.schema)
     n = F.coalesce("_slices", F.lit(1))
     spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), n).cast("int")
     one = rows.join(F.broadcast(few), F.col(key) == F.col("_hot"), "left").withColumn("_salt", spread).drop("_hot", "_slices")

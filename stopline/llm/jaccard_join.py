@@ -47,6 +47,8 @@ MINI_SHARED = 8
 LEAF = 8
 SHARPER = 8
 FIRST_UNITS = 32
+SPOKES = 64
+WANTED_BITS = 64
 HOT = "key long, i int, j int, sig long, comp long, at int"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FINAL = np.uint64(0xD6E8FEB86659FD93)
@@ -369,29 +371,45 @@ def both_of(pairs: DataFrame) -> DataFrame:
 def whole_sets(rows: DataFrame, ids: DataFrame, sigs: DataFrame, size: int) -> DataFrame:
     """(sig, tokens) of the signatures: one document of each is read again."""
     wanted = stage(sigs.select("sig").distinct().join(ids, "sig").select("sig", F.xxhash64("first_id").alias("key")), "join-wanted")
-    bits = filter_bits(wanted.count())
+    bits = filter_bits(wanted.count(), WANTED_BITS)  # a text let through in vain sends its whole set
     words = stage(bit_filter(wanted, "key", bits), "join-wanted-filter")
     few = with_candidate(rows.withColumn("key", F.xxhash64("doc_id")), "key", words, bits, "may").filter("may").select("text")
     found = few.mapInArrow(lean(_sets(size)), "sig long, tokens binary").join(wanted.select("sig"), "sig", "left_semi")
-    return stage(found.groupBy("sig").agg(F.first("tokens").alias("tokens")), "join-sets")
+    return found.groupBy("sig").agg(F.first("tokens").alias("tokens"))
 
 
-def _verified(percent: int):
+def _spokes(percent: int):
+    """Links (a, b) of rows (hub, part, leaf, sig, tokens): in each part of a hub its own set comes first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pivot = None, None
         for batch in batches:
-            one, two = (batch.column(c).to_pylist() for c in ("x", "y"))
-            good = [linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(one, two)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            links = []
+            for hub, part, leaf, sig, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                tokens = np.frombuffer(tokens, np.uint64)
+                if not leaf:
+                    at, pivot = (hub, part), tokens
+                elif at == (hub, part) and linked(tokens, pivot, percent):
+                    links.append((sig, hub))
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of signatures whose whole sets link; a set in many pairs is sent to many tasks."""
-    one = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
-    two = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
-    first = salted_join(pairs, one, "a")
-    return salted_join(pairs, two, "b").join(first, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(lean(_verified(percent)), "a long, b long")
+def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of signatures and pivots whose whole sets link.
+
+    A pivot's set is sent once for some ``SPOKES`` of its pairs, however many it has, and meets theirs there."""
+    parts = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count(F.lit(1)) / SPOKES).cast("int").alias("parts"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    hubs = parts.select("hub", part.alias("part"), F.lit(0).alias("leaf"), F.col("hub").alias("sig"))
+    leaves = pairs.withColumnsRenamed({"a": "sig", "b": "hub"}).join(parts, "hub")
+    leaves = leaves.select("hub", F.pmod(F.xxhash64("sig"), "parts").cast("int").alias("part"), F.lit(1).alias("leaf"), "sig")
+    rows = stage(hubs.union(leaves), "join-spokes")
+    filled = salted_join(rows, sets, "sig").select("hub", "part", "leaf", "sig", "tokens")
+    units = filled.repartition("hub", "part").sortWithinPartitions("hub", "part", "leaf")
+    return units.mapInArrow(lean(_spokes(percent)), "a long, b long")
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
@@ -453,18 +471,20 @@ def _stars(members: DataFrame, sketches: DataFrame, turns: int, percent: int) ->
     The pivot is the member that shares the largest part of its own keys with others: a copy with few
     changes of its own, which is close to more of the group than one picked at random. Only pairs that are likely to link, by size and by their smallest hashes, are worth verifying
     here; the full search that follows misses nothing."""
-    turn = F.explode(F.sequence(F.lit(1), F.lit(turns)))
-    one = members.withColumn("turn", turn).groupBy("sig", "turn")
-    one = one.agg(F.min_by("key", F.xxhash64("key", "turn")).alias("key")).select("sig", "key").distinct()
-    part = members.groupBy("sig").agg(F.count(F.lit(1)).alias("shared"))
-    part = part.join(sketches, "sig").select("sig", (F.col("shared") / F.col("keys")).alias("part"))
-    pivot = members.join(part, "sig").groupBy("key").agg(F.max_by("sig", F.struct("part", "sig")).alias("b"))
-    pairs = one.join(pivot, "key").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
-    of = lambda c: sketches.select(F.col("sig").alias(c), F.col("n").alias(f"{c}n"), F.col("mini").alias(f"{c}m"))
+    by_sig = members.repartition("sig")  # sent once for both uses
+    some = [F.min_by("key", F.xxhash64("key", F.lit(k))) for k in range(1, turns + 1)]
+    each = by_sig.groupBy("sig").agg(F.array_distinct(F.array(*some)).alias("some"), F.count(F.lit(1)).alias("shared"))
+    each = each.join(sketches.select("sig", "n", "keys"), "sig")
+    one = each.select(F.col("sig").alias("a"), F.col("n").alias("an"), F.explode("some").alias("key"))
+    part = each.select("sig", "n", (F.col("shared") / F.col("keys")).alias("part"))
+    pivot = by_sig.join(part, "sig").groupBy("key").agg(F.max(F.struct("part", "sig", "n")).alias("top"))
+    met = one.join(pivot.select("key", F.col("top.sig").alias("b"), F.col("top.n").alias("bn")), "key")
+    size = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
+    pairs = met.filter((F.col("a") != F.col("b")) & size).select("a", "b").distinct()
+    of = lambda c: sketches.select(F.col("sig").alias(c), F.col("mini").alias(f"{c}m"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     near = F.size(F.array_intersect("am", "bm")) >= F.least(F.lit(MINI_SHARED), F.size("am"), F.size("bm"))
-    size = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
-    return both.filter(near & size).select("a", "b")
+    return both.filter(near).select("a", "b")
 
 
 def _units(rows: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
@@ -506,6 +526,17 @@ def unit_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return units.mapInArrow(lean(_joined(percent)), "a long, b long")
 
 
+def _one_of_each(filled: DataFrame, ids: DataFrame) -> DataFrame:
+    """(sig, n, keys, mini, map), one row for each set; only rows whose set may have come more than once are sent."""
+    copied = ids.filter("docs > 1").select("sig")
+    bits = filter_bits(copied.count())
+    words = stage(bit_filter(copied, "sig", bits), "join-copied-filter")
+    of_set = ["n", "keys", "mini", "map"]
+    marked = with_candidate(filled.select("sig", *of_set), "sig", words, bits, "may")
+    some = marked.filter("may").groupBy("sig").agg(*[F.first(c).alias(c) for c in of_set])
+    return marked.filter("NOT may").select("sig", *of_set).union(stage(some, "join-copied"))
+
+
 @tidy
 def components(
     docs: DataFrame,
@@ -529,22 +560,22 @@ def components(
     )
     described = stage(described, "join-docs")
     filled = described.filter("n > 0")
-    postings = filled.select("sig", F.explode("keys").alias("key"))
-    shared = postings.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).filter("lo <> hi").select("key")
+    ids = filled.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("docs"))
+    ids = stage(ids, "join-ids")
+    each = _one_of_each(filled, ids)
+    postings = each.select("sig", F.explode("keys").alias("key"))
+    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
     shared = stage(shared, "join-keys")
     bits = filter_bits(shared.count())
     words = stage(bit_filter(shared, "key", bits), "join-filter")
-    may = with_candidate(postings, "key", words, bits, "may").filter("may").select("sig", "key").distinct()
+    may = with_candidate(postings, "key", words, bits, "may").filter("may").select("sig", "key")
     members = stage(may.join(shared, "key"), "join-members")
-    ids = stage(filled.groupBy("sig").agg(F.min("doc_id").alias("first_id")), "join-ids")
-    of_sig = [F.first(c).alias(c) for c in ("n", "mini", "map")]
-    sketches = filled.groupBy("sig").agg(*of_sig, F.first(F.size("keys")).alias("keys"))
-    sketches = stage(sketches, "join-sketches")
+    sketches = stage(each.select("sig", "n", "mini", "map", F.size("keys").alias("keys")), "join-sketches")
 
     comps = stage(members.select("sig").distinct().withColumn("comp", F.col("sig")), "join-comps")
     if star_rounds:
         pairs = stage(_stars(members, sketches, star_rounds, percent), "join-pairs")
-        comps = _merged(comps, verify(pairs, whole_sets(rows, ids, both_of(pairs), size), percent))
+        comps = _merged(comps, star_links(pairs, whole_sets(rows, ids, both_of(pairs), size), percent))
     searched = _units(_open(members, comps, sketches, percent), sketches, block).mapInArrow(lean(_searched(percent)), HOT)
     hot = stage(_once(stage(searched, "join-searched")), "join-hot")
     hot = stage(_first_units(hot, sketches, percent), "join-first")

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stopline.llm import jaccard_join as jj
 
@@ -163,3 +164,30 @@ def test_groups_at_the_threshold_equal_brute_force(docs):
     for rounds in (0, 1):
         got = jj.components(docs(*rows), star_rounds=rounds, block=9)
         assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_a_pivots_set_is_sent_once_for_many_of_its_pairs(spark, monkeypatch):
+    base = [f"w{k}" for k in range(40)]
+    texts = [base] + [base[:k] + ["x"] * (1 + k % 2) * 2 + base[k + 1 :] for k in range(2, 38)] * 4
+    texts = [" ".join([*t, f"y{k}"]) for k, t in enumerate(texts)]
+    sets = [jj.Shingles()(t) for t in texts]
+    kinds = "sig long, tokens binary"
+    of_sets = spark.createDataFrame([(k, bytearray(t.tobytes())) for k, t in enumerate(sets)], kinds)
+    hub = [(k, 0) for k in range(1, len(sets))]
+    pairs = spark.createDataFrame(hub + [(k, 1) for k in range(2, 9)], "a long, b long")
+    staged, real = {}, jj.stage
+    monkeypatch.setattr(jj, "stage", lambda df, name: staged.setdefault(name, real(df, name)))
+    got = {tuple(r) for r in jj.star_links(pairs, of_sets, 70).collect()}
+    assert got == {(r.a, r.b) for r in pairs.collect() if jj.linked(sets[r.a], sets[r.b], 70)} and 0 < len(got) < pairs.count()
+    sent = staged["join-spokes"].groupBy("sig").count().collect()
+    assert {r.sig: r["count"] for r in sent}[0] == -(-len(hub) // jj.SPOKES) and sum(r["count"] for r in sent) == pairs.count() + 4
+
+
+def test_only_sets_that_may_have_come_twice_are_sent(spark):
+    rows = [(k, k // 2 if k < 20 else k, [k // 2 if k < 20 else k]) for k in range(60)]
+    filled = spark.createDataFrame(rows, "doc_id long, sig long, keys array<long>").selectExpr("*", "1L as n", "keys as mini", "x'00' as map")
+    ids = filled.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("docs"))
+    got = jj._one_of_each(filled, ids)
+    assert sorted((r.sig, *r["keys"]) for r in got.collect()) == sorted({(s, *k) for _, s, k in rows})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # what was merged is stored, all other rows stay where they are
